@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["tables", "gold"]
+MODULES = ["tables", "gold", "reports", "ops"]
 
 
 def all_checks() -> None:

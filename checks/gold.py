@@ -190,8 +190,8 @@ VIEWS.update(
     ax_product_contracts=f"""
         SELECT product_id, count(*) AS total_contracts, count(*) FILTER (status_normalized = 'ACTIVE') AS active_contracts,
                sum(contract_amount) AS total_contract_value, {mean('contract_amount')} AS avg_contract_value,
-               {half_up(f"sum(income_units) FILTER (created_date >= {SINCE})", '1000000', 4)} AS total_revenue_mtd,
-               {half_up(f"sum(income_units) FILTER (year(created_date) = {YEAR})", '1000000', 4)} AS total_revenue_ytd
+               {half_up(f"ifnull(sum(income_units) FILTER (created_date >= {SINCE}), 0)", '1000000', 4)} AS total_revenue_mtd,
+               {half_up(f"ifnull(sum(income_units) FILTER (year(created_date) = {YEAR}), 0)", '1000000', 4)} AS total_revenue_ytd
         FROM ax_contract_income GROUP BY product_id""",
     gd_product_performance_summary=f"""
         SELECT product_id, {AS_OF} AS report_date, product_name, product_type, product_category,
@@ -267,8 +267,8 @@ VIEWS.update(
                      sum(outstanding_balance) AS total_loans,
                      sum(outstanding_balance) FILTER (delinquency_status_normalized IN ('DELINQUENT_90', 'DELINQUENT_120_PLUS')) AS npl
               FROM sv_loans) l,
-             (SELECT {half_up(f"sum(income_units) FILTER (created_date >= {SINCE})", '1000000', 4)} AS mtd,
-                     {half_up(f"sum(income_units) FILTER (year(created_date) = {YEAR})", '1000000', 4)} AS ytd FROM ax_contract_income) r,
+             (SELECT {half_up(f"ifnull(sum(income_units) FILTER (created_date >= {SINCE}), 0)", '1000000', 4)} AS mtd,
+                     {half_up(f"ifnull(sum(income_units) FILTER (year(created_date) = {YEAR}), 0)", '1000000', 4)} AS ytd FROM ax_contract_income) r,
              (SELECT count(*) AS n, sum(amount) AS volume, {mean('amount')} AS mean,
                      {half_up("count(*) FILTER (status_normalized = 'COMPLETED') * 100", 'count(*)')} AS rate FROM sv_transactions) x""",
 )

@@ -22,15 +22,19 @@ def _before(partition: Sequence[str], order: Column, value: str) -> Column:
 
 
 def value_positions(
-    df: DataFrame, keys: Sequence[str], value: str, descending: bool = False, weight: str | None = None
+    df: DataFrame, keys: Sequence[str], value: str, descending: bool = False, places: int = 2
 ) -> DataFrame:
-    """Per key and distinct value: ``n`` rows with it and ``before`` rows ordered ahead of it."""
+    """Per key and distinct value: ``n`` rows with it and ``before`` rows ordered ahead of it.
+
+    ``places`` is the number of decimals of the value.
+    """
     keys = list(keys)
+    units = F.col("value").cast("decimal(38,6)") * F.lit(10**places)
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("value"))
-        .agg((F.count("*") if weight is None else F.sum(weight)).alias("n"))
-        .withColumn("_mid", F.floor(F.col("value").cast("decimal(38,2)") * 100 / FINE).cast("bigint"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("_mid", F.floor(units / FINE).cast("bigint"))
         .withColumn("_top", F.floor(F.col("_mid") / (COARSE // FINE)).cast("bigint"))
     )
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
@@ -59,35 +63,40 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return left.join(r, test).drop(*[f"_r_{c}" for c in on])
 
 
-def global_rank(df: DataFrame, metrics: Mapping[str, str]) -> DataFrame:
-    """Add rank columns, highest value first, ties share a rank, NULLs come last (no rank if all others tie).
+def global_rank(df: DataFrame, key: str, metrics: Mapping[str, str]) -> DataFrame:
+    """Add rank columns: highest value first, ties share a rank, NULLs share the last one.
 
-    ``metrics``: output column -> ranked column.
+    ``metrics``: output column -> ranked column. ``key`` is unique in ``df``. All
+    metrics are ranked in one pass over (metric, value) rows.
     """
-    out = df
-    for name, metric in metrics.items():
-        places = value_positions(df.select(metric), [], metric, descending=True)
-        ranks = places.select(F.col("value").alias("_v"), (F.col("before") + 1).alias(name))
-        known = df.agg(F.count(metric)).scalar()
-        out = (
-            out.join(ranks, out[metric] == F.col("_v"), "left")
-            .drop("_v")
-            .withColumn(name, F.coalesce(F.col(name), known + 1))
-        )
-    return out
+    pair = F.explode(
+        F.array(*[
+            F.struct(F.lit(name).alias("metric"), F.col(source).cast("decimal(30,5)").alias("value"))
+            for name, source in metrics.items()
+        ])
+    )
+    long = df.select(key, pair.alias("p")).select(key, "p.metric", "p.value")
+    ahead = value_positions(long, ["metric"], "value", descending=True, places=5).drop("n")
+    known = long.groupBy("metric").agg(F.count("value").alias("known"))
+    rank = F.coalesce("before", "known") + 1
+    ranks = (
+        long.join(ahead, ["metric", "value"], "left").join(known, "metric").groupBy(key)
+        .agg(*[F.max(F.when(F.col("metric") == name, rank)).alias(name) for name in metrics])
+    )
+    return df.join(ranks, key)
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], places: int = 2
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, as doubles, one row per key."""
     keys = list(keys)
-    places = value_positions(df, keys, value)
-    totals = places.groupBy(*keys).agg(F.sum("n").alias("total")) if keys else None
+    found = value_positions(df, keys, value, places=places)
+    known = df.where(F.col(value).isNotNull())
     if keys:
-        placed = _join(places, totals, keys)
+        placed = _join(found, known.groupBy(*keys).agg(F.count("*").alias("total")), keys)
     else:
-        placed = places.withColumn("total", places.agg(F.sum("n")).scalar())
+        placed = found.withColumn("total", known.agg(F.count("*")).scalar())
     columns = []
     for name, p in points.items():
         position = F.lit(float(p)) * (F.col("total") - 1)

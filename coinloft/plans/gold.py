@@ -18,6 +18,7 @@ from ..functions import calendar, clean
 from ..operators.joins import left_join_preagg, one_row
 from ..operators.ledger import balance_change
 from ..operators.ranking import global_rank
+from ..session import cut_lineage
 
 Frames = Mapping[str, DataFrame]
 MONEY = "decimal(18,2)"
@@ -566,13 +567,15 @@ def rank_branches(dashboard: DataFrame) -> DataFrame:
     per_head = clean.exact_ratio("total_deposits", "total_employees")
     ranked = global_rank(
         dashboard.withColumn("_efficiency", per_head),
+        "branch_id",
         {"revenue_rank": "total_revenue_mtd", "customer_rank": "total_clients", "efficiency_rank": "_efficiency"},
     )
     return ranked.drop("_efficiency")
 
 
 def branch_performance_dashboard(t: Frames, as_of: dt.date, run_ts: dt.datetime, fanout_safe: bool = False) -> DataFrame:
-    return rank_branches(branch_performance(t, as_of, run_ts, fanout_safe))
+    """Ranking reads the metrics several times, so they are written once first."""
+    return rank_branches(cut_lineage(branch_performance(t, as_of, run_ts, fanout_safe), "branch-metrics"))
 
 
 def financial_kpi_summary(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:

@@ -75,7 +75,7 @@ CONTRACTS = {
               " WHEN o_orderkey % 3 = 0 THEN 'CLOSED' WHEN o_orderkey % 3 = 1 THEN 'TERMINATED '"
               " WHEN o_orderkey % 4 = 0 THEN 'lost' ELSE ' Frozen' END",
     "monthly_payment": "CAST(floor(round(o_totalprice * 100) / 36) / 100 AS DECIMAL(12,2))",
-    "created_date": "CAST(o_orderdate AS DATE) - CAST(o_orderkey % 20 AS INT)",
+    "created_date": "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 97 AS INT)",
 }
 ACCOUNTS = {
     "account_id": "o_orderkey",
@@ -85,7 +85,7 @@ ACCOUNTS = {
     "account_type": "CASE o_orderkey % 7 WHEN 0 THEN 'SAVINGS' WHEN 1 THEN 'checking' WHEN 2 THEN 'CREDIT'"
                     " WHEN 3 THEN ' LOAN' WHEN 4 THEN 'DEPOSIT' WHEN 5 THEN 'INV' ELSE 'other' END",
     "currency": "CASE WHEN o_orderkey % 4 = 0 THEN 'eur' ELSE 'USD' END",
-    "open_date": "CAST(o_orderdate AS DATE)",
+    "open_date": "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 97 AS INT)",
     "close_date": "CASE WHEN o_orderkey % 9 = 0"
                   " THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 1500 AS INT) END",
     "status": "CASE o_orderkey % 8 WHEN 0 THEN 'CLOSED' WHEN 1 THEN 'BLOCKED' WHEN 2 THEN 'dormant '"
