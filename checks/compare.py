@@ -10,6 +10,7 @@ from __future__ import annotations
 import argparse
 import json
 import math
+import threading
 import time
 
 import duckdb
@@ -44,7 +45,8 @@ def main():
     args = ap.parse_args()
     all_checks()
     folder = f"/root/testdata/sf{args.sf}"
-    spark = build(master="local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"})
+    spark = build(master="local[8]", **{
+        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
@@ -54,6 +56,8 @@ def main():
     bad = 0
     for name in names:
         t0 = time.time()
+        watch = threading.Timer(120, spark.sparkContext.cancelAllJobs)
+        watch.start()
         try:
             df = runner(name)(spark, folder)
             types = dict(df.dtypes)
@@ -89,7 +93,9 @@ def main():
                     print("   at   ", [(c, x, y) for c, x, y in zip(sorted(cols), r, s) if x != y][:6])
         except Exception as e:  # report and go on
             bad += 1
-            print(f"FAIL   {name} {type(e).__name__} {str(e)[:600]}", flush=True)
+            print(f"FAIL   {time.time() - t0:.0f}s {name} {type(e).__name__} {str(e)[:600]}", flush=True)
+        finally:
+            watch.cancel()
     print(f"{len(names)} queries, {bad} bad")
     spark.stop()
 

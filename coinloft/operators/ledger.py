@@ -55,7 +55,7 @@ def daily_balances(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
     per_day = (
         ledger_legs(transactions.where(F.col("transaction_date").isNotNull()))
         .groupBy("account_id", F.to_date("transaction_date").alias("day"))
-        .agg(F.sum("delta").alias("delta"))
+        .agg(F.coalesce(F.sum("delta"), F.lit(0)).alias("delta"))
     )
     running = Window.partitionBy("account_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     return per_day.join(accounts.select("account_id", "opening_balance"), "account_id").select(

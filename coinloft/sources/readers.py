@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 CORRUPT = "_corrupt_record"
 CSV = {
     "header": "true", "sep": ",", "quote": '"', "escape": "\\", "encoding": "UTF-8", "mode": "PERMISSIVE",
@@ -27,9 +29,8 @@ def read_csv_typed(spark: SparkSession, path: str, schema: str | T.StructType) -
 
 
 def validate_records(spark: SparkSession, path: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(good, rejects). The corrupt column only exists while parsed columns are read,
-    so both frames keep the full row."""
-    rows = read_csv_typed(spark, path, schema)
+    """(good, rejects). The files are parsed once, into the shared folder."""
+    rows = cut_lineage(read_csv_typed(spark, path, schema), "validated")
     return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull())
 
 
