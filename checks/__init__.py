@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["tables", "gold", "reports", "ops", "quality", "audit"]
+MODULES = ["tables", "gold", "reports", "ops", "quality", "audit", "flows"]
 
 
 def all_checks() -> None:

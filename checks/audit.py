@@ -94,22 +94,24 @@ check("format_instructions", """
 
 
 @check("scd2_merge", """
-    WITH old AS (SELECT client_id, city, risk_category, DATE '2001-01-01' AS effective_date, NULL::DATE AS end_date, TRUE AS is_current
-                 FROM sv_clients WHERE client_id % 10 <> 9),
-         new AS (SELECT client_id, IF(client_id % 4 = 0, 'MOVED', city) AS city, risk_category FROM sv_clients WHERE client_id % 10 <> 8),
-         pair AS (SELECT ifnull(o.client_id, n.client_id) AS client_id, o.city AS oc, o.risk_category AS orisk, o.effective_date AS oe,
-                         n.city AS nc, n.risk_category AS nr, o.client_id IS NOT NULL AS has_old, n.client_id IS NOT NULL AS has_new,
-                         o.client_id IS NOT NULL AND n.client_id IS NOT NULL AND (o.city IS DISTINCT FROM n.city OR o.risk_category IS DISTINCT FROM n.risk_category) AS changed
-                  FROM old o FULL JOIN new n ON o.client_id = n.client_id)
-    SELECT client_id, oc AS city, orisk AS risk_category, oe AS effective_date, NULL::DATE AS end_date, TRUE AS is_current FROM pair WHERE has_old AND NOT changed
-    UNION ALL SELECT client_id, oc, orisk, oe, DATE '2001-11-05', FALSE FROM pair WHERE changed
-    UNION ALL SELECT client_id, nc, nr, DATE '2001-11-05', NULL::DATE, TRUE FROM pair WHERE has_new AND (changed OR NOT has_old)""")
+    WITH old AS (SELECT client_id, city, risk_category FROM sv_clients WHERE registration_date <= DATE '2001-01-01'),
+         new AS (SELECT client_id, IF(email IS NULL, 'MOVED', city) AS city, risk_category FROM sv_clients),
+         pair AS (SELECT n.client_id, o.city AS oc, o.risk_category AS orisk, n.city AS nc, n.risk_category AS nr,
+                         o.client_id IS NOT NULL AS has_old,
+                         o.client_id IS NOT NULL AND (o.city IS DISTINCT FROM n.city OR o.risk_category IS DISTINCT FROM n.risk_category) AS changed
+                  FROM new n LEFT JOIN old o ON o.client_id = n.client_id)
+    SELECT client_id, oc AS city, orisk AS risk_category, DATE '2001-01-01' AS effective_date, NULL::DATE AS end_date, TRUE AS is_current
+    FROM pair WHERE has_old AND NOT changed
+    UNION ALL SELECT client_id, oc, orisk, DATE '2001-01-01', DATE '2001-11-05', FALSE FROM pair WHERE changed
+    UNION ALL SELECT client_id, nc, nr, DATE '2001-11-05', NULL::DATE, TRUE FROM pair WHERE changed OR NOT has_old""")
 def _(k):
-    # the two versions of the dimension differ in some keys and some cities
-    c = k.silver["clients"].select("client_id", "city", "risk_category")
-    current = c.where(F.col("client_id") % 10 != 9).select(
-        "*", F.lit("2001-01-01").cast("date").alias("effective_date"), F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_current"))
-    incoming = c.where(F.col("client_id") % 10 != 8).withColumn("city", F.when(F.col("client_id") % 4 == 0, "MOVED").otherwise(F.col("city")))
+    """The dimension holds the clients registered by 2001; a full snapshot arrives in which some have moved."""
+    c = k.silver["clients"]
+    current = c.where(F.col("registration_date") <= F.lit("2001-01-01").cast("date")).select(
+        "client_id", "city", "risk_category", F.lit("2001-01-01").cast("date").alias("effective_date"),
+        F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_current"))
+    moved = F.when(F.col("email").isNull(), "MOVED").otherwise(F.col("city"))
+    incoming = c.select("client_id", moved.alias("city"), "risk_category")
     return history.scd2_merge(current, incoming, "client_id", ["city", "risk_category"], k.as_of)
 
 
