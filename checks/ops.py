@@ -187,7 +187,7 @@ check("archive_partitions", f"""
     lambda k: tables.archive_partitions(k.silver["transactions"], k.as_of).select(
         "transaction_id", "transaction_uuid", "amount", "archive_year", "archive_month"))
 for _layer, _view in (("silver", "sv_transactions"), ("bronze", "(SELECT *, year(transaction_date) AS transaction_year FROM raw_transactions)")):
-    check(f"purge_partitions_{_layer}", f"""
+    check("purge_partitions" if _layer == "silver" else "purge_partitions_bronze", f"""
         SELECT transaction_id, transaction_uuid, transaction_year FROM {_view}
         WHERE transaction_year >= year({AS_OF} - INTERVAL 24 MONTH)""")(
         lambda k, layer=_layer: tables.purge_partitions(getattr(k, layer)["transactions"], k.as_of).select(
@@ -442,7 +442,7 @@ check("top_k", f"SELECT transaction_uuid, amount FROM {T} ORDER BY amount DESC N
                          [F.col("amount").desc_nulls_last(), F.col("transaction_uuid")], 20))
 _counts = lambda layer: " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS record_count FROM {layer}_{t}" for t in S)
 check("union_all_report_bronze", _counts("raw"))(lambda k: tables.union_all_report({t: k.bronze[t] for t in S}))
-check("union_all_report_silver", _counts("sv"))(lambda k: tables.union_all_report({t: k.silver[t] for t in S}))
+check("union_all_report", _counts("sv"))(lambda k: tables.union_all_report({t: k.silver[t] for t in S}))
 GOLD = {
     "dim_client": "Dimension", "dim_product": "Dimension", "dim_branch": "Dimension", "dim_date": "Dimension",
     "fact_transactions_daily": "Fact", "fact_account_balance_daily": "Fact", "fact_loan_performance": "Fact",

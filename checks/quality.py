@@ -53,7 +53,7 @@ def _slots(k):
 check("dq_issues", f"SELECT client_id, {ISSUE_TEXT} AS issues, {SLOTS} AS slots FROM raw_clients")(_slots)
 check("dq_rules_eval_clients", violations("raw_clients", "client_id", rules.CLIENT_RULES))(
     lambda k: quality.dq_rules_eval(k.stage["clients"], "client_id", rules.CLIENT_RULES))
-check("dq_rules_eval_transactions", violations("raw_transactions", "transaction_uuid", rules.TRANSACTION_RULES))(
+check("dq_rules_eval", violations("raw_transactions", "transaction_uuid", rules.TRANSACTION_RULES))(
     lambda k: quality.dq_rules_eval(k.stage["transactions"], "transaction_uuid", rules.TRANSACTION_RULES))
 CRITICAL = {
     "transaction_id": "transaction_id IS NULL", "from_account_id": "from_account_id IS NULL", "amount": "amount IS NULL",

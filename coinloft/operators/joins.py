@@ -24,8 +24,17 @@ def left_join_preagg(base: DataFrame, key: str, branches: Sequence[tuple[DataFra
 
 
 def left_join_on_filter(left: DataFrame, right: DataFrame, on: str | Sequence[str], right_condition: Column) -> DataFrame:
-    """The extra predicate limits the right side only: unmatched left rows stay."""
-    return left.join(right.where(right_condition), on, "left")
+    """The extra predicate limits the right side only: unmatched left rows stay.
+
+    An outer join cannot split a hot key of its right side, an inner join can.
+    So matches come from an inner join and the other left rows from an anti
+    join against the distinct right keys.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    kept = right.where(right_condition)
+    matched = left.join(kept, keys)
+    lone = left.join(kept.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(lone, allowMissingColumns=True)
 
 
 def chain_join(df: DataFrame, steps: Sequence[tuple[DataFrame, str | Sequence[str], str]]) -> DataFrame:

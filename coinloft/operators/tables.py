@@ -9,21 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _spread(df: DataFrame, partition_cols: Sequence[str], salt: int) -> DataFrame:
-    """Cluster rows by output partition, each partition over up to ``salt`` tasks.
+def _spread(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Cluster rows by output partition.
 
-    Without this every task writes a small file into every partition; without
-    the salt one hot partition would be written by one task. The salt is a hash
-    of the row, so a repeated task sends its rows to the same place.
+    Without this every task writes a small file into every partition. The
+    rebalance hint lets AQE split a hot partition over many tasks and join small
+    ones, both towards the advisory partition size.
     """
-    if not partition_cols:
-        return df
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(salt))
-    return df.withColumn("_salt", part).repartition(*partition_cols, "_salt").drop("_salt")
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str], overwrite: str, salt: int) -> None:
-    writer = _spread(df, partition_cols, salt).write.mode(mode)
+def _write(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str], overwrite: str) -> None:
+    writer = _spread(df, partition_cols).write.mode(mode)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", overwrite)
     if partition_cols:
@@ -31,18 +28,18 @@ def _write(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str], o
     writer.parquet(path)
 
 
-def write_append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), salt: int = 8) -> None:
-    _write(df, path, "append", partition_cols, "static", salt)
+def write_append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
+    _write(df, path, "append", partition_cols, "static")
 
 
-def write_full_refresh(df: DataFrame, path: str, partition_cols: Sequence[str] = (), salt: int = 8) -> None:
+def write_full_refresh(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     """Replace the whole table."""
-    _write(df, path, "overwrite", partition_cols, "static", salt)
+    _write(df, path, "overwrite", partition_cols, "static")
 
 
-def write_partition_overwrite(df: DataFrame, path: str, partition_cols: Sequence[str], salt: int = 8) -> None:
+def write_partition_overwrite(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Replace only the partitions present in ``df``."""
-    _write(df, path, "overwrite", partition_cols, "dynamic", salt)
+    _write(df, path, "overwrite", partition_cols, "dynamic")
 
 
 def write_orc_copy(df: DataFrame, path: str) -> None:
@@ -64,9 +61,15 @@ def export_csv(df: DataFrame, path: str, order: Sequence[str], single_file: bool
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def compact_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], files_per_partition: int = 1) -> None:
-    """Rewrite the table with few files per partition, into a new folder."""
-    _write(df, path, "overwrite", partition_cols, "static", files_per_partition)
+def compact_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], target_mb: int = 256) -> None:
+    """Rewrite the table into a new folder with files of about the target size."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = conf.get(key, None)
+    conf.set(key, f"{target_mb}MB")
+    try:
+        _write(df, path, "overwrite", partition_cols, "static")
+    finally:
+        conf.set(key, before) if before else conf.unset(key)
 
 
 def collect_statistics(df: DataFrame, exact: bool = False) -> DataFrame:
