@@ -10,6 +10,7 @@ from coinloft import rules
 from coinloft.functions import calendar, clean
 from coinloft.operators import aggs, dedup, joins, ledger, tables
 from coinloft.plans import gold
+from coinloft.schemas import DDL
 from coinloft.session import work_folder
 from coinloft.sources import banking, readers
 
@@ -25,11 +26,7 @@ def cols(df, key, **columns):
 
 # --- sources and sinks: written to the shared folder, read back ----------------------
 
-CLIENT_DDL = (
-    "client_id BIGINT, first_name STRING, last_name STRING, email STRING, phone STRING, birth_date DATE,"
-    " registration_date DATE, address STRING, city STRING, country STRING, risk_category STRING, credit_score INT,"
-    " employment_status STRING, annual_income DECIMAL(12,2)"
-)
+CLIENT_DDL = DDL["clients"]
 
 
 def _written(k, df, fmt, purpose, **options):
@@ -64,12 +61,11 @@ check("read_table", "SELECT * FROM customer")(lambda k: k.raw("customer"))
 @check("read_any_format", "SELECT fmt, p.* FROM (VALUES ('parquet'), ('json'), ('csv'), ('orc')) v(fmt), raw_products p")
 def _(k):
     source = k.stage["products"]
-    ddl = "product_id BIGINT, product_name STRING, product_type STRING, currency STRING, active BOOLEAN"
     out = []
     for fmt in ("parquet", "json", "csv", "orc"):
         options = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"} if fmt == "csv" else {}
         path = _written(k, source, fmt, fmt, **options)
-        out.append(readers.read_any_format(k.spark, path, fmt, ddl).select(F.lit(fmt).alias("fmt"), "*"))
+        out.append(readers.read_any_format(k.spark, path, fmt, DDL["products"]).select(F.lit(fmt).alias("fmt"), "*"))
     return reduce(lambda a, b: a.unionByName(b), out)
 
 

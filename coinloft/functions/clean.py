@@ -50,11 +50,15 @@ def phone_digits(value: ColumnLike, international: bool = False) -> Column:
 
 
 def mapped(value: ColumnLike, codes: Mapping[str, Sequence[str]], rest: ColumnLike | None = None) -> Column:
-    """Synonyms to standard code; ``rest`` is the label for others, None passes them through."""
+    """Synonyms to standard code; ``rest`` is the label for others, None passes them through.
+
+    One lookup in a constant map: a CASE over the same lists would repeat the
+    trimmed text in every branch and outgrow what the JVM compiles.
+    """
     key = code(value)
+    pairs = [F.lit(x) for label, names in codes.items() for name in names for x in (name, label)]
     other = key if rest is None else (F.lit(rest) if isinstance(rest, str) else rest)
-    rules = [(key.isin(*names), F.lit(label)) for label, names in codes.items()]
-    return first_match(rules, other)
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), key), other)
 
 
 def first_match(rules: Iterable[tuple[Column, Column]], rest: Column) -> Column:

@@ -106,7 +106,8 @@ CLIENT_PRODUCTS = {
 }
 TRANSACTIONS = {
     "transaction_id": "l_orderkey * 10 + l_linenumber",
-    "transaction_uuid": "' TX-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey",
+    "transaction_uuid": "' TX-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+                        " || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING)",
     "from_account_id": "CASE WHEN l_partkey % 41 = 0 THEN NULL"
                        " WHEN l_partkey % 43 = 0 THEN l_orderkey + 100000000000 ELSE l_orderkey END",
     "to_account_id": "CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END",
