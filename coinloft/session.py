@@ -18,6 +18,8 @@ SETTINGS = {
     # split a hot join partition even where that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the driver keeps the plan text of every query and of every AQE step; wide marts run to megabytes
+    "spark.sql.maxPlanStringLength": "4000",
 }
 
 

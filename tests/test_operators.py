@@ -146,6 +146,7 @@ def test_partition_overwrite_is_idempotent_and_local(spark):
 def test_pruned_read(spark):
     path = work_folder(spark, "t")
     tables.write_full_refresh(spark.range(100).select("id", (F.col("id") % 5).alias("p")), path, ["p"])
+    spark.conf.set("spark.sql.maxPlanStringLength", "100000")
     plan = readers.partitioned_read(spark.read.parquet(path), {"p": 3})._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(p" in plan
 

@@ -61,7 +61,8 @@ def test_dedup_gives_unique_keys_and_the_latest_row(bad_clients):
     assert latest.email == "other@example.com"
 
 
-def test_dedup_limits_groups_before_the_shuffle(bad_clients):
+def test_dedup_limits_groups_before_the_shuffle(spark, bad_clients):
+    spark.conf.set("spark.sql.maxPlanStringLength", "100000")
     plan = dedup.dedup_latest(bad_clients, ["client_id"], ["registration_date"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
