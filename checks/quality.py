@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from coinloft import rules
 from coinloft.operators import dedup, profile, quality, tables
-from coinloft.plans.load_checks import gold_checks
+from coinloft.plans.load_checks import gold_checks, quality_specs
 
 from .base import AS_OF, ISSUE_TEXT, SCORE, cents, half_up, mean
 from .core import check
@@ -208,14 +208,7 @@ def _dash_sql(table, key, critical, invalid):
 
 
 def _dash(k):
-    tests = {
-        "clients": ~F.col("email").contains("@") | ~F.col("credit_score").between(300, 850),
-        "transactions": (F.col("amount") == 0) | (F.col("status_normalized") == "UNKNOWN"),
-        "accounts": (F.col("close_date") < F.col("open_date")) | (F.col("status_normalized") == "UNKNOWN"),
-        "loans": F.col("loan_to_value_ratio") > 1,
-    }
-    return profile.data_quality_dashboard(
-        {t: (k.silver[t], DASH[t][0], DASH[t][1], tests[t]) for t in DASH}, k.as_of, k.run_ts)
+    return profile.data_quality_dashboard(quality_specs(k.silver), k.as_of, k.run_ts)
 
 
 check("data_quality_dashboard", " UNION ALL ".join(_dash_sql(t, *spec) for t, spec in DASH.items()))(_dash)

@@ -138,7 +138,7 @@ def tune_grid_cv(
 def credit_risk_model(features: DataFrame, iterations: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Gradient-boosted trees; the score is (1 - probability) * 1000 with its risk band."""
     spark = features.sparkSession
-    if iterations > 10:  # trees cut their own lineage every ten rounds
+    if spark.sparkContext.getCheckpointDir() is None:  # boosting cuts its lineage every ten rounds
         spark.sparkContext.setCheckpointDir(work_folder(spark, "boosting"))
     keys = ["loan_id", "client_id"]
     table = training_table(features, keys, CREDIT_NUMBERS, [], "is_delinquent")

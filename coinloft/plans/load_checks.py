@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules
+
 
 def _figures() -> dict[str, dict]:
     total = lambda c: F.sum(c).cast("decimal(28,2)")
@@ -44,3 +46,23 @@ def gold_checks(g: Mapping[str, DataFrame]) -> DataFrame:
         one = row.select(pair.alias("p")).select(F.lit(table).alias("table_name"), "p.metric", "p.value")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def quality_specs(t: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, str, list[str], Column]]:
+    """What the quality dashboard measures per silver table: key, critical columns, invalid values."""
+    unknown = F.col("status_normalized") == "UNKNOWN"
+    specs = {
+        "clients": (
+            "client_id", ["client_id", "first_name", "last_name", "email"],
+            ~F.col("email").contains("@") | ~F.col("credit_score").between(*rules.SCORE_RANGE),
+        ),
+        "transactions": (
+            "transaction_id", ["transaction_id", "from_account_id", "amount", "transaction_date"],
+            (F.col("amount") == 0) | unknown,
+        ),
+        "accounts": (
+            "account_id", ["account_id", "client_id", "branch_code"], (F.col("close_date") < F.col("open_date")) | unknown
+        ),
+        "loans": ("loan_id", ["loan_id", "contract_id", "delinquency_status"], F.col("loan_to_value_ratio") > 1),
+    }
+    return {name: (t[name], *spec) for name, spec in specs.items()}

@@ -11,20 +11,24 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import tables
+from ..operators import profile, tables
 from ..session import tune
 from . import gold, silver
 from .lake import load_bronze
+from .load_checks import quality_specs
 
 GOLD_TABLES = [
-    "dim_client", "dim_product", "dim_branch", "dim_account", "fact_transactions_daily", "fact_account_balance_daily",
+    "dim_client", "dim_product", "dim_branch", "dim_date", "dim_account", "fact_transactions_daily", "fact_account_balance_daily",
     "fact_loan_performance", "client_360_view", "product_performance_summary", "branch_performance_dashboard",
-    "financial_kpi_summary",
+    "financial_kpi_summary", "data_quality_dashboard",
 ]
 
 
 class Pipeline:
+    calendar = (dt.date(2020, 1, 1), dt.date(2027, 12, 31))  # first and last day of dim_date
+
     def __init__(self, spark: SparkSession, root: str, as_of: dt.date, run_ts: dt.datetime):
         self.spark = tune(spark)
         self.root, self.as_of, self.run_ts = root.rstrip("/"), as_of, run_ts
@@ -56,7 +60,13 @@ class Pipeline:
     def gold(self, names: Iterable[str] = tuple(GOLD_TABLES)) -> None:
         frames = {name: self.read("silver", name) for name in silver.KEYS}
         for name in names:
-            df = getattr(gold, name)(frames, self.as_of, self.run_ts)
+            if name == "data_quality_dashboard":
+                df = profile.data_quality_dashboard(quality_specs(frames), self.as_of, self.run_ts)
+            elif name == "dim_date":
+                bounds = self.spark.range(1).select(*[F.lit(d).alias(n) for d, n in zip(self.calendar, ("first_day", "last_day"))])
+                df = gold.dim_date(gold.calendar_days(bounds))
+            else:
+                df = getattr(gold, name)(frames, self.as_of, self.run_ts)
             self._store("gold", name, df, gold.PARTITIONS.get(name, []))
 
     def run(self, stage: Callable[[str], DataFrame], dedup: bool = False) -> DataFrame:

@@ -23,6 +23,9 @@ SETTINGS = {
 }
 
 
+_LOCAL: dict[str, str] = {}  # the fallback folder of local sessions
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
     for key, value in SETTINGS.items():
@@ -51,8 +54,8 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="coinloft-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _LOCAL.get("root") or tempfile.mkdtemp(prefix="coinloft-")
+        _LOCAL["root"] = root
     return f"{root.rstrip('/')}/coinloft/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -49,6 +49,7 @@ def test_pipeline_stores_all_layers(spark):
     fact = pipeline.read("gold", "fact_transactions_daily")
     assert fact.agg({"transaction_count": "sum"}).first()[0] == silver
     assert counts["gold.dim_client"] == counts["silver.clients"]
+    assert counts["gold.dim_date"] == 2922 and counts["gold.data_quality_dashboard"] == 4
 
 
 def test_models_score_every_held_out_row(spark):
@@ -65,3 +66,54 @@ def test_grid_search_returns_every_point(spark):
     lake = Lake(spark, FOLDER)
     out = models.tune_grid_cv(features.fraud_features(lake.silver), trees=(2, 3), depths=(2,), min_rows=(1, 5), folds=2).collect()
     assert len(out) == 4 and sum(r.test_auc is not None for r in out) == 1
+
+
+WIDE = ["dim_client", "dim_account", "fact_transactions_daily", "client_360_view", "aq_branch_comparison", "aq_segmentation",
+        "aq_cards", "aq_product_effectiveness", "churn_features", "left_join_on_filter", "agg_percentile"]
+
+
+def _plan(spark, name):
+    lake = Lake(spark, FOLDER)
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    return SPARK[name](lake)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", WIDE)
+def test_plans_scale(spark, name):
+    """No row pairs, no Python, and no broadcast beyond the measured size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(spark, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python"):
+        assert node not in plan
+
+
+def test_scans_read_only_what_the_fact_needs(spark):
+    plan = _plan(spark, "fact_transactions_daily")
+    orders = [line for line in plan.splitlines() if "FileScan" in line and "o_orderkey" in line]
+    assert orders and all("o_totalprice" not in line.split("ReadSchema")[1] for line in orders)
+
+
+def test_hot_account_gives_whole_totals(spark):
+    """One account holds a third of the rows; totals match the plain query over the same rows."""
+    from pyspark.sql import functions as F
+
+    lake = Lake(spark, FOLDER)
+    hot = F.when(F.crc32("transaction_uuid") % 3 == 0, 7).otherwise(F.col("from_account_id")).cast("bigint")
+    moved = lake.silver["transactions"].withColumn("from_account_id", hot)
+    frames = {"transactions": moved, "accounts": lake.silver["accounts"]}
+    from coinloft.plans import gold
+
+    fact = gold.fact_transactions_daily(frames, lake.as_of, lake.run_ts)
+    keys = ["transaction_date", "account_id", "client_id", "branch_code", "transaction_type", "category", "currency"]
+    got = fact.select(*keys, "transaction_count", "total_amount", "suspicious_transaction_count")
+    moved.createOrReplaceTempView("hot_tx")
+    lake.silver["accounts"].createOrReplaceTempView("hot_acc")
+    want = spark.sql("""
+        SELECT t.transaction_date_only, t.from_account_id, coalesce(a.client_id, -1), coalesce(a.branch_code, 'UNKNOWN'),
+               t.transaction_type_normalized, t.category_normalized, t.currency, count(*), sum(t.amount), count_if(t.is_suspicious)
+        FROM hot_tx t LEFT JOIN hot_acc a ON t.from_account_id = a.account_id GROUP BY ALL""")
+    rows = lambda df: sorted(map(str, (tuple(r) for r in df.collect())))
+    assert rows(got) == rows(want)
