@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from coinloft import rules
-from coinloft.plans import gold
 
 from .base import AS_OF, SINCE, band, cents, half_up, mean, region_of
 from .core import VIEWS, check

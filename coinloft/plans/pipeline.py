@@ -40,9 +40,11 @@ class Pipeline:
         return self.spark.read.parquet(self.path(layer, name))
 
     def _store(self, layer: str, name: str, df: DataFrame, partition_cols: Iterable[str]) -> None:
-        """Partitioned tables replace the partitions they deliver, others are refreshed whole."""
+        """Silver is refreshed whole; partitioned bronze and gold tables replace the partitions they deliver."""
         cols = list(partition_cols)
-        if cols:
+        if layer == "silver":
+            tables.write_full_refresh(df, self.path(layer, name), cols)
+        elif cols:
             tables.write_partition_overwrite(df, self.path(layer, name), cols)
         else:
             tables.write_full_refresh(df, self.path(layer, name))
