@@ -185,3 +185,30 @@ def test_calendar(spark):
 
 def test_work_folder_uses_the_named_shared_folder(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_hot_key_on_the_right_of_a_filtered_left_join_is_split(spark):
+    """With thresholds scaled down to the fixture, AQE splits the hot key and the rows stay whole."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "16", "spark.sql.maxPlanStringLength": "1000000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 2000).select(F.col("id").alias("k"))
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1500)
+        right = spark.range(0, 60000, 1, 8).select(key.alias("k"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        out = joins.left_join_on_filter(left, right, "k", F.col("v") >= 0)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert "skew=true" in plan
+    assert sum(r.v is not None for r in rows) == 60000
+    assert {r.k for r in rows} == set(range(2000))
