@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,9 +22,6 @@ SETTINGS = {
 }
 
 
-_LOCAL: dict[str, str] = {}  # the fallback folder of local sessions
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
     for key, value in SETTINGS.items():
@@ -43,20 +39,30 @@ def build(app: str = "coinloft", master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def _work_root(spark: SparkSession) -> str | None:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if root:
+        return root
+    set_later = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return set_later.get() if set_later.isDefined() else None
+
+
+def has_work_root(spark: SparkSession) -> bool:
+    return _work_root(spark) is not None
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, visible to every executor.
+    """A fresh folder below ``spark.checkpoint.dir`` (or the session's checkpoint folder), visible to every executor.
 
-    Only a local[*] session without that setting falls back to a temporary folder.
+    It is removed when the application ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    root = _work_root(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _LOCAL.get("root") or tempfile.mkdtemp(prefix="coinloft-")
-        _LOCAL["root"] = root
-    return f"{root.rstrip('/')}/coinloft/{purpose}-{uuid.uuid4().hex}"
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    folder = f"{root.rstrip('/')}/coinloft/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def cut_lineage(df, purpose: str):
