@@ -129,3 +129,27 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     each = docs.alias("d").join(count.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")))
     each = each.select(*[F.col(f"d.`{c}`") for c in names], F.explode(F.expr("sequence(1, n__copies)")).alias("n__copy"))
     return each.select(*[F.col(f"`{c}`") for c in names])
+
+
+def twin() -> str:
+    """The table of ``mix`` in SQL. Highest quotients are ranked in full, one row per possible block."""
+    w = ", ".join(map(str, WEIGHTS))
+    return f"""
+    WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+        md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place FROM d GROUP BY source),
+    t AS (SELECT *, list_extract([{w}], CAST(place % {len(WEIGHTS)} AS INTEGER) + 1) AS weight, {CAP} * source_size AS most,
+        {SHARE}::DOUBLE * sum(source_size) OVER () AS total FROM s),
+    r AS (SELECT *, most::DOUBLE / weight AS ratio FROM t),
+    l AS (SELECT *, (total - coalesce(sum(most) OVER (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+        / sum(weight) OVER (ORDER BY ratio, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level FROM r),
+    v AS (SELECT *, (SELECT level FROM l WHERE level <= ratio ORDER BY ratio, place LIMIT 1) AS water FROM l),
+    g AS (SELECT *, least(most::DOUBLE, coalesce(weight * water, most::DOUBLE)) AS target, greatest(1, CAST(floor(total / {BLOCKS}) AS BIGINT)) AS block FROM v),
+    q AS (SELECT g.*, k, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, place, k) AS seat, CAST(floor(total / block + 0.5) AS BIGINT) AS seats
+        FROM g, unnest(range(1, CAST(ceil(target / block * 1.01) AS BIGINT) + 3)) AS u(k) WHERE target > 0),
+    a AS (SELECT place, count(*) AS quota FROM q WHERE seat <= seats GROUP BY place),
+    f AS (SELECT g.source, source_size, target, least(coalesce(quota, 0) * block, {CAP} * source_size) AS drawn FROM g LEFT JOIN a USING (place)),
+    n AS (SELECT doc_id, source, size, CAST(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS first FROM d)
+    SELECT doc_id, size, source_size, target,
+      CAST(CASE WHEN source_size > 0 THEN (drawn // source_size) * size + greatest(0, least(size, drawn % source_size - first)) ELSE 0 END AS BIGINT) AS taken
+    FROM n JOIN f ON n.source IS NOT DISTINCT FROM f.source"""

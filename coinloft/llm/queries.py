@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinloft.llm import language, quality
+from coinloft.llm import chats, language, leaks, licences, mixing, near, neighbours, quality, secrets, sharding
 
 _shipped: set[str] = set()
 
@@ -42,12 +42,45 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_copies(table(spark, sf_dir, "documents"))
+
+
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(table(spark, sf_dir, "documents"))
+
+
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op8_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.digests(chats.with_trap(table(spark, sf_dir, "conversations")))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality": op1_quality,
-    "op9_language": op9_language,
+    f.__name__: f
+    for f in (op1_quality, op2_near_copies, op3_licences, op4_shards, op5_mix, op6_secrets, op7_neighbours, op8_chats, op9_language, op10_leaks)
 }
-SQL: dict[str, str] = {}
+# the others have learned models, seeded draws, iterated joins or digests that SQL lacks; their tests compare with brute force
+SQL: dict[str, str] = {"op3_licences": licences.twin(), "op5_mix": mixing.twin(), "op8_chats": chats.twin()}
