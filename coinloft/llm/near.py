@@ -106,7 +106,8 @@ def _verified(pairs: DataFrame, lists: DataFrame, similarity: float) -> DataFram
 def _rare_pairs(nodes: DataFrame, lists: DataFrame, similarity: float) -> DataFrame:
     """All pairs (a, b) of different components that may reach ``similarity``: they share a shingle among the rarest of each.
 
-    Of a list ordered rarest first, n - ceil(similarity n) + 1 shingles must hold one that both texts have.
+    Of a list ordered rarest first, n - ceil(similarity n) + 1 shingles must hold one that both texts have. Before the
+    first common one no shingle is shared, so what follows it in the shorter rest must suffice for the similarity.
     """
     held = nodes.join(lists, "id")
     each = held.select("id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
@@ -114,12 +115,14 @@ def _rare_pairs(nodes: DataFrame, lists: DataFrame, similarity: float) -> DataFr
     ordered = each.join(counts.where("f > 1"), "s", "left").select("id", "component", "n", F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s").alias("fs"))
     lead = F.expr(f"n - ceil({similarity} * n) + 1").cast("int")
     prefix = ordered.groupBy("id", "component", "n").agg(F.sort_array(F.collect_list("fs")).alias("l"))
-    token = prefix.select("id", "component", F.explode(F.slice("l", F.lit(1), lead)).alias("t")).where("t.f > 1").select("id", "component", F.col("t.s").alias("s"))
+    token = prefix.select("id", "component", "n", F.posexplode(F.slice("l", F.lit(1), lead)).alias("i", "t")).where("t.f > 1")
+    token = token.select("id", "component", "n", (F.col("n") - F.col("i")).alias("rest"), F.col("t.s").alias("s"))
     mixed = token.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("s")
     token = cut_lineage(token.join(mixed, "s"), "rare-shingles")
     x, y = token.alias("x"), token.alias("y")
-    return x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.component") != F.col("y.component"))).select(
-        F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    enough = F.least("x.rest", "y.rest") >= F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-9
+    other = (F.col("x.id") > F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+    return x.join(y, (F.col("x.s") == F.col("y.s")) & other & enough).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
