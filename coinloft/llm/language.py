@@ -24,8 +24,8 @@ def fit(docs: DataFrame, usable, key: str = "doc_id", label: str = "lang", max_r
     The calibration texts set the temperature and ``reject_below``: the smallest top probability above which the share of
     right predictions is at least ``precision``.
     """
-    rows = docs.where(usable & F.col(label).isNotNull()).select(key, "text", F.col(label).alias("label"))
-    model = S.train(S.sample_features(rows, key, FEATURES, max_rows), FEATURES, dim=10, epochs=4)
+    known = docs.where(usable).select(key, F.col(label).alias("label"))
+    model = S.train(S.sample_features(docs, known, key, FEATURES, max_rows), FEATURES, dim=10, epochs=4)
     if "top" in model.notes:
         top, right = model.notes["top"], model.notes["right"]
         order = np.argsort(-top)

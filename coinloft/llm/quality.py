@@ -27,9 +27,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
 
     Null labels and null texts are left out. A document labelled twice is two examples. Only the text is an input.
     """
-    known = labels.where(~held_out(key) & F.col(label).isNotNull()).select(key, F.col(label).cast("string").alias("label"))
-    joined = docs.select(key, "text").join(known, key)
-    return S.train(S.sample_features(joined, key, FEATURES, max_rows), FEATURES)
+    known = labels.where(~held_out(key)).select(key, F.col(label).alias("label"))
+    return S.train(S.sample_features(docs, known, key, FEATURES, max_rows), FEATURES)
 
 
 def _scorer(shared, positive: str):

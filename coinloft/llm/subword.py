@@ -88,16 +88,17 @@ def _extract(f: Features):
     return run
 
 
-def sample_features(labelled: DataFrame, key: str, f: Features, max_rows: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(label, buckets, shares) of at most ``max_rows`` texts: those with the smallest hash of their key.
+def sample_features(docs: DataFrame, known: DataFrame, key: str, f: Features, max_rows: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(label, buckets, shares) of at most ``max_rows`` texts: those of ``known(key, label)`` with the smallest key hash.
 
-    ``labelled`` has ``key``, ``text`` and a string ``label``. Repeated rows are one example each.
+    The choice moves keys only; then the chosen ones, whose number is bounded, are broadcast to the texts. Null labels
+    and texts are left out. Repeated rows of ``docs`` are examples each.
     """
-    chosen = (
-        labelled.select(F.col(key).cast("string").alias("key"), F.col("label").cast("string").alias("label"), "text")
-        .where(F.col("label").isNotNull() & F.col("text").isNotNull())
-        .orderBy(F.xxhash64("key", F.lit(17)), "key", "label", "text").limit(max_rows)
-    )
+    labelled = known.select(F.col(key).alias("k"), F.col("label").cast("string").alias("label")).where("label is not null").distinct()
+    present = labelled.join(docs.select(F.col(key).alias("k")), "k", "left_semi")
+    chosen = F.broadcast(present.orderBy(F.xxhash64("k", F.lit(17)), "k", "label").limit(max_rows))
+    texts = docs.select(F.col(key).alias("k"), "text").where(F.col("text").isNotNull()).join(chosen, "k")
+    chosen = texts.select(F.col("k").cast("string").alias("key"), "label", "text")
     schema = "key string, label string, ids array<int>, counts array<int>"
     rows = chosen.repartition(16, "key").mapInArrow(_extract(f), schema).toArrow()
     # a text of k features sends k numbers; the count of texts is bounded, so is the model's input
