@@ -109,13 +109,17 @@ def _rare_pairs(nodes: DataFrame, lists: DataFrame, similarity: float) -> DataFr
     Of a list ordered rarest first, n - ceil(similarity n) + 1 shingles must hold one that both texts have. Before the
     first common one no shingle is shared, so what follows it in the shorter rest must suffice for the similarity.
     """
-    held = nodes.join(lists, "id")
-    each = held.select("id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    counts = each.groupBy("s").agg(F.count("*").alias("f"))
-    ordered = each.join(counts.where("f > 1"), "s", "left").select("id", "component", "n", F.struct(F.coalesce("f", F.lit(1)).alias("f"), "s").alias("fs"))
+    held = nodes.join(lists, "id").withColumn("n", F.size("shingles"))
     lead = F.expr(f"n - ceil({similarity} * n) + 1").cast("int")
-    prefix = ordered.groupBy("id", "component", "n").agg(F.sort_array(F.collect_list("fs")).alias("l"))
-    token = prefix.select("id", "component", "n", F.posexplode(F.slice("l", F.lit(1), lead)).alias("i", "t")).where("t.f > 1")
+    counts = held.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("f"), F.min("id").alias("one"))
+    counts = cut_lineage(counts, "shingle-counts")
+    # shingles no other text has come first in a list; where they fill the whole lead, no partner is possible
+    alone = counts.where("f = 1").groupBy(F.col("one").alias("id")).agg(F.count("*").cast("int").alias("u"))
+    able = held.join(alone, "id", "left").withColumn("u", F.coalesce("u", F.lit(0))).where(F.col("u") < lead)
+    shared = able.select("id", "component", "n", "u", F.explode("shingles").alias("s")).join(counts.where("f > 1"), "s")
+    ordered = shared.groupBy("id", "component", "n", "u").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("l"))
+    token = ordered.select("id", "component", "n", "u", F.posexplode(F.slice("l", F.lit(1), lead - F.col("u"))).alias("at", "t"))
+    token = token.withColumn("i", F.col("u") + F.col("at"))
     token = token.select("id", "component", "n", (F.col("n") - F.col("i")).alias("rest"), F.col("t.s").alias("s"))
     mixed = token.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("s")
     token = cut_lineage(token.join(mixed, "s"), "rare-shingles")
