@@ -48,8 +48,8 @@ def items(benchmark: DataFrame) -> DataFrame:
 def windows(docs: DataFrame, item: DataFrame) -> DataFrame:
     """doc_id, len, width, start, sh: windows as long as an item, wherever a document shares a word shingle with the benchmark.
 
-    A window that shares no shingle has similarity 0, so only windows are formed that put a shared shingle where the
-    item has it. At a document's ends they are cut. All documents are read whole; the index of the benchmark's shingles is
+    A window that shares no shingle has similarity 0, and among whole windows none is better than one that puts a shared
+    shingle where the item has it, so only those are formed. At a text's ends they are cut, and also moved. All documents are read whole; the index of the benchmark's shingles is
     broadcast if it is small by count, and joined by shuffle otherwise.
     """
     index = item.select("width", "len", F.posexplode("sh").alias("off", "h")).select("h", "width", "len", "off").distinct()
@@ -68,8 +68,12 @@ def windows(docs: DataFrame, item: DataFrame) -> DataFrame:
     wanted = cut_lineage(wanted, "windows")
     cut = "slice(w, greatest(win.start, 0) + 1, least(win.start + win.len, size(w)) - greatest(win.start, 0))"
     inside = docs.where("doc_id is not null").select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "wins", words(F.col("text")).alias("w"))
+    # a window cut at an end of the text may fit better when moved further over it, by a fifth of its shingles at most
+    reach = "int((win.len - win.width + 1) div 5)"
+    moved = f"filter(sequence(win.start - {reach}, win.start + {reach}), s -> s = win.start or s < 0 or s + win.len > size(w))"
+    starts = f"array_distinct(flatten(transform(wins, win -> transform({moved}, s -> struct(s as start, win.len as len, win.width as width)))))"
     # with repeated doc_ids a window may lie beyond a shorter text
-    fits = "filter(wins, win -> greatest(win.start, 0) < size(w))"
+    fits = f"filter({starts}, win -> win.start < size(w) and win.start + win.len > 0)"
     each = inside.select("doc_id", F.explode(F.expr(f"transform({fits}, win -> struct(win.start as start, win.len as len, win.width as width, {cut} as w))")).alias("v"))
     return each.select("doc_id", "v.start", "v.len", "v.width", F.expr(_shingles("v.w", "v.width")).alias("sh")).where("size(sh) > 0")
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from coinloft.llm import text as X
 
 _U = np.uint32
+LEAST_STEPS = 4000  # a small sample is passed over more often
 
 
 @dataclass
@@ -143,6 +144,7 @@ def train(
     position = {x: i for i, x in enumerate(labels)}
     fit = [e for i, e in enumerate(examples) if i % held or len(examples) < 50]
     check = [e for i, e in enumerate(examples) if i % held == 0]
+    epochs = max(epochs, -(-LEAST_STEPS // max(len(fit), 1)))
     steps, done = epochs * len(fit), 0
     for _ in range(epochs if k > 1 else 0):
         for i in rng.permutation(len(fit)):
