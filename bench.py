@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -31,6 +32,7 @@ def main() -> None:
         "coinloft-bench", f"local[{cpus}]",
         **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"},
     )
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="coinloft-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     all_checks()
     run = lambda name: runner(name)(spark, folder).write.format("noop").mode("overwrite").save()

@@ -11,7 +11,7 @@ from .core import check
 
 
 def _landing(k, name, copies=1, files=1):
-    """The stage table as files in a landing folder, delivered ``copies`` times."""
+    """The stage table as files in a landing folder, delivered ``copies`` times; rows are dealt out regardless of date."""
     path = work_folder(k.spark, "landing")
     rows = k.stage[name]
     for _ in range(copies):
@@ -33,22 +33,21 @@ def _(k):
 
 @check("stream_clean_dedup", "SELECT * FROM sv_transactions")
 def _(k):
-    path, schema = _landing(k, "transactions", copies=2)
+    path, schema = _landing(k, "transactions", copies=2, files=2)
     out, checkpoint = _folders(k, "silver", "checkpoint")
-    jobs.stream_clean_dedup(jobs.file_stream(k.spark, path, schema), k.as_of, k.run_ts, out, checkpoint)
-    return k.spark.read.parquet(out)
+    jobs.stream_clean_dedup(jobs.file_stream(k.spark, path, schema, max_files=1), k.as_of, k.run_ts, out, checkpoint)
+    return jobs.landed(k.spark, out)
 
 
 @check("stream_daily_fact", """
     SELECT transaction_date_only AS transaction_date, transaction_type_normalized AS transaction_type, status_normalized AS status,
            count(*) AS transaction_count, sum(amount) AS total_amount
-    FROM sv_transactions
-    WHERE transaction_date_only + 1 <= (SELECT max(transaction_date) FROM sv_transactions) - INTERVAL 1 HOUR GROUP BY ALL""")
+    FROM sv_transactions GROUP BY ALL""")
 def _(k):
-    path, schema = _landing(k, "transactions")
-    out, checkpoint = _folders(k, "daily", "checkpoint")
-    jobs.stream_daily_fact(jobs.file_stream(k.spark, path, schema), k.as_of, k.run_ts, out, checkpoint)
-    return k.spark.read.parquet(out)
+    path, schema = _landing(k, "transactions", files=4)
+    silver, out, checkpoint = _folders(k, "silver", "daily", "checkpoint")
+    jobs.stream_daily_fact(jobs.file_stream(k.spark, path, schema, max_files=1), k.as_of, k.run_ts, silver, out, checkpoint)
+    return k.spark.read.parquet(out).drop("year", "month")
 
 
 @check("stream_upsert_gold", "SELECT * FROM gd_fact_transactions_daily")

@@ -55,7 +55,12 @@ def _(k):
     return count("good", good).unionByName(count("reject", rejects))
 
 
-check("read_table", "SELECT * FROM customer")(lambda k: k.raw("customer"))
+@check("read_table", "SELECT * FROM customer")
+def _(k):
+    """A layer table, read by path."""
+    root = work_folder(k.spark, "layers")
+    tables.write_full_refresh(k.raw("customer"), f"{root}/bronze/customer")
+    return readers.read_table(k.spark, root, "bronze", "customer")
 
 
 @check("read_any_format", "SELECT fmt, p.* FROM (VALUES ('parquet'), ('json'), ('csv'), ('orc')) v(fmt), raw_products p")

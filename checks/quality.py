@@ -189,6 +189,14 @@ DASH = {
     "transactions": ("transaction_id", ["transaction_id", "from_account_id", "amount", "transaction_date"], "amount = 0 OR status_normalized = 'UNKNOWN'"),
     "accounts": ("account_id", ["account_id", "client_id", "branch_code"], "close_date < open_date OR status_normalized = 'UNKNOWN'"),
     "loans": ("loan_id", ["loan_id", "contract_id", "delinquency_status"], "loan_to_value_ratio > 1"),
+    "products": ("product_id", ["product_id", "product_name", "product_type"], "length(currency) <> 3"),
+    "contracts": ("contract_id", ["contract_id", "client_id", "product_id"], "end_date < start_date OR status_normalized = 'UNKNOWN'"),
+    "client_products": ("relationship_id", ["relationship_id", "client_id", "product_id"], "end_date < start_date"),
+    "account_balances": ("balance_id", ["balance_id", "account_id", "current_balance"], "credit_limit < 0"),
+    "cards": ("card_id", ["card_id", "client_id", "account_id"], "expiry_date < issue_date OR status_normalized = 'UNKNOWN'"),
+    "branches": ("branch_id", ["branch_id", "branch_code", "branch_name"], "NOT starts_with(branch_code, 'BR')"),
+    "employees": ("employee_id", ["employee_id", "branch_id", "hire_date"], "salary <= 0"),
+    "credit_applications": ("application_id", ["application_id", "client_id", "requested_amount"], "requested_amount <= 0 OR status_normalized = 'UNKNOWN'"),
 }
 
 

@@ -141,9 +141,12 @@ def mask_partial(value: ColumnLike, keep: int = 3) -> Column:
     return F.concat(F.substring(as_col(value).cast("string"), 1, keep), F.lit("***"))
 
 
+RATIO = "decimal(26,8)"  # operands of ratios: eight decimals, 10^18 before them
+
+
 def percent(part: ColumnLike, whole: ColumnLike, other: Column | None = None, places: int = 2) -> Column:
     """100 * part / whole in decimal arithmetic; ``other`` where whole is not positive."""
-    a, b = as_col(part).cast("decimal(22,2)"), as_col(whole).cast("decimal(22,2)")
+    a, b = as_col(part).cast(RATIO), as_col(whole).cast(RATIO)
     ratio = F.round(F.try_divide(a * F.lit(100), b), places)
     guarded = F.when(b > 0, ratio)
     return guarded if other is None else guarded.otherwise(other)
@@ -151,7 +154,7 @@ def percent(part: ColumnLike, whole: ColumnLike, other: Column | None = None, pl
 
 def exact_ratio(part: ColumnLike, whole: ColumnLike, places: int = 2) -> Column:
     """part / whole rounded half up in decimal arithmetic; NULL on a zero divisor."""
-    a, b = as_col(part).cast("decimal(22,2)"), as_col(whole).cast("decimal(22,2)")
+    a, b = as_col(part).cast(RATIO), as_col(whole).cast(RATIO)
     return F.round(F.try_divide(a, b), places)
 
 

@@ -130,6 +130,7 @@ def tune_grid_cv(
         (p[forest.numTrees], p[forest.maxDepth], p[forest.minInstancesPerNode], float(m), held_out if i == best else None)
         for i, (p, m) in enumerate(zip(grid, fitted.avgMetrics))
     ]
+    rows.sort(key=lambda r: -r[3])
     return features.sparkSession.createDataFrame(
         rows, "num_trees int, max_depth int, min_instances int, mean_auc double, test_auc double"
     )

@@ -79,7 +79,7 @@ def profile_columns(
         F.struct(
             F.lit(c).alias("column_name"),
             F.col(c).cast("string").alias("label"),
-            (F.col(c).cast("decimal(28,4)") if c in numeric else F.lit(None).cast("decimal(28,4)")).alias("number"),
+            (F.col(c).cast("decimal(26,8)") if c in numeric else F.lit(None).cast("decimal(26,8)")).alias("number"),
             bad[c].alias("mismatch"),
         )
         for c in every
@@ -99,7 +99,7 @@ def profile_columns(
         F.max(F.when(x.isNull(), F.col("label"))).alias("max_text"),
         F.min(x).alias("min_number"),
         F.max(x).alias("max_number"),
-        clean.exact_ratio(F.sum(x.cast("decimal(28,2)") * n), F.sum(F.when(x.isNotNull(), known))).alias("mean"),
+        clean.exact_ratio(F.sum(x * n.cast("decimal(11,0)")), F.sum(F.when(x.isNotNull(), known))).alias("mean"),
     )
     quartiles = exact_percentiles(
         cells.where(x.isNotNull()), ["column_name"], "number", {"q1": 0.25, "median": 0.5, "q3": 0.75}

@@ -28,6 +28,12 @@ def _write(df: DataFrame, path: str, mode: str, partition_cols: Sequence[str], o
     writer.parquet(path)
 
 
+def exists(spark, path: str) -> bool:
+    """The folder holds data of an earlier write."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     _write(df, path, "append", partition_cols, "static")
 
@@ -156,9 +162,13 @@ def purge_partitions(df: DataFrame, as_of: dt.date, months: int = 24, year: str
 
 
 def drop_expired_partitions(spark, table: str, as_of: dt.date, months: int = 24, year: str = "transaction_year") -> None:
-    """The catalog form: a metadata operation, no rows are read."""
-    total = as_of.year * 12 + as_of.month - 1 - months
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year} < {total // 12})")
+    """The catalog form: the partitions listed are dropped one by one, no rows are read."""
+    first = (as_of.year * 12 + as_of.month - 1 - months) // 12
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # one row per partition
+        spec = dict(part.split("=", 1) for part in row.partition.split("/"))
+        if spec[year].isdigit() and int(spec[year]) < first:
+            one = ", ".join(f"`{c}` = '{v}'" for c, v in spec.items())
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({one})")
 
 
 # --- reports over several tables ----------------------------------------------------

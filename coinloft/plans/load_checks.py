@@ -64,5 +64,15 @@ def quality_specs(t: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, str,
             "account_id", ["account_id", "client_id", "branch_code"], (F.col("close_date") < F.col("open_date")) | unknown
         ),
         "loans": ("loan_id", ["loan_id", "contract_id", "delinquency_status"], F.col("loan_to_value_ratio") > 1),
+        "products": ("product_id", ["product_id", "product_name", "product_type"], F.length("currency") != 3),
+        "contracts": ("contract_id", ["contract_id", "client_id", "product_id"], (F.col("end_date") < F.col("start_date")) | unknown),
+        "client_products": ("relationship_id", ["relationship_id", "client_id", "product_id"], F.col("end_date") < F.col("start_date")),
+        "account_balances": ("balance_id", ["balance_id", "account_id", "current_balance"], F.col("credit_limit") < 0),
+        "cards": ("card_id", ["card_id", "client_id", "account_id"], (F.col("expiry_date") < F.col("issue_date")) | unknown),
+        "branches": ("branch_id", ["branch_id", "branch_code", "branch_name"], ~F.col("branch_code").startswith("BR")),
+        "employees": ("employee_id", ["employee_id", "branch_id", "hire_date"], F.col("salary") <= 0),
+        "credit_applications": (
+            "application_id", ["application_id", "client_id", "requested_amount"], (F.col("requested_amount") <= 0) | unknown
+        ),
     }
     return {name: (t[name], *spec) for name, spec in specs.items()}

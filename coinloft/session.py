@@ -17,15 +17,18 @@ SETTINGS = {
     # split a hot join partition even where that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # the driver keeps the plan text of every query and of every AQE step; wide marts run to megabytes
-    "spark.sql.maxPlanStringLength": "4000",
 }
 
 
+REQUIRED = {"spark.sql.session.timeZone", "spark.sql.ansi.enabled"}  # results depend on these two
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that already exists."""
+    """Apply the runtime settings to a session that already exists; what its owner has set stays."""
+    given = dict(spark.sparkContext.getConf().getAll())
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in given or key in REQUIRED:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -1,12 +1,18 @@
+import datetime as dt
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import checks
 from checks.compare import TABLES, _rows
 from checks.core import SPARK, SQL, Lake, runner, typed
+from coinloft.functions import clean
 from coinloft.learning import features, models
+from coinloft.operators import profile, tables
 from coinloft.plans.pipeline import Pipeline
 from coinloft.session import work_folder
+from coinloft.streaming import jobs
 
 FOLDER = "/root/testdata/sf0.001"
 checks.all_checks()
@@ -49,7 +55,7 @@ def test_pipeline_stores_all_layers(spark):
     fact = pipeline.read("gold", "fact_transactions_daily")
     assert fact.agg({"transaction_count": "sum"}).first()[0] == silver
     assert counts["gold.dim_client"] == counts["silver.clients"]
-    assert counts["gold.dim_date"] == 2922 and counts["gold.data_quality_dashboard"] == 4
+    assert counts["gold.dim_date"] == 2922 and counts["gold.data_quality_dashboard"] == 12
 
 
 def test_models_score_every_held_out_row(spark):
@@ -117,3 +123,57 @@ def test_hot_account_gives_whole_totals(spark):
         FROM hot_tx t LEFT JOIN hot_acc a ON t.from_account_id = a.account_id GROUP BY ALL""")
     rows = lambda df: sorted(map(str, (tuple(r) for r in df.collect())))
     assert rows(got) == rows(want)
+
+
+def _dealt(spark, files):
+    """Transactions of the stage in ``files`` files whose dates overlap, and their silver rows."""
+    lake = Lake(spark, FOLDER)
+    path = work_folder(spark, "landing")
+    rows = lake.stage["transactions"]
+    rows.repartition(files).write.parquet(path)
+    return lake, path, rows.schema, lake.silver["transactions"]
+
+
+def test_streams_lose_no_row_in_several_batches(spark):
+    lake, path, schema, silver = _dealt(spark, 4)
+    stream = lambda: jobs.file_stream(spark, path, schema, max_files=1)
+    folder = lambda n: work_folder(spark, n)
+    out = folder("clean")
+    jobs.stream_clean_dedup(stream(), lake.as_of, lake.run_ts, out, folder("checkpoint"))
+    expected = silver.where("transaction_uuid is not null").select("transaction_uuid", "transaction_year", "transaction_month").distinct().count()
+    assert jobs.landed(spark, out).count() == expected + silver.where("transaction_uuid is null").count()
+    days = folder("days")
+    jobs.stream_daily_fact(stream(), lake.as_of, lake.run_ts, folder("silver"), days, folder("checkpoint"))
+    assert spark.read.parquet(days).agg({"transaction_count": "sum"}).first()[0] == silver.count()
+
+
+def test_a_new_checkpoint_keeps_stored_rows(spark):
+    lake, path, schema, silver = _dealt(spark, 2)
+    files = sorted(r[0] for r in spark.read.parquet(path).selectExpr("_metadata.file_path").distinct().collect())
+    stored, fact = work_folder(spark, "silver"), work_folder(spark, "fact")
+    for one in files:
+        single = work_folder(spark, "part")
+        spark.read.parquet(one).write.parquet(single)
+        jobs.stream_upsert_gold(jobs.file_stream(spark, single, schema), lake.silver["accounts"], lake.as_of, lake.run_ts, stored, fact, work_folder(spark, "checkpoint"))
+    assert jobs.landed(spark, stored).count() == silver.count()
+    assert spark.read.parquet(fact).agg({"transaction_count": "sum"}).first()[0] == silver.count()
+
+
+def test_expired_partitions_of_a_catalog_table_are_dropped(spark):
+    rows = spark.createDataFrame([(1, 2019, 5), (2, 2020, 1), (3, 2024, 2)], "id int, transaction_year int, transaction_month int")
+    rows.write.mode("overwrite").partitionBy("transaction_year", "transaction_month").saveAsTable("retained")
+    tables.drop_expired_partitions(spark, "retained", dt.date(2025, 2, 1), 24)
+    assert [r.id for r in spark.table("retained").collect()] == [3]
+    spark.sql("DROP TABLE retained")
+
+
+def test_ratios_keep_small_values(spark):
+    row = spark.range(1).select(
+        clean.percent(F.lit("0.004").cast("decimal(6,3)"), F.lit("0.005").cast("decimal(6,3)")).alias("a"),
+        clean.percent(F.lit(0.005), F.lit(0.01)).alias("b"),
+        clean.exact_ratio(F.lit("0.009").cast("decimal(6,3)"), F.lit(2), 4).alias("c"),
+    ).first()
+    assert [float(x) for x in row] == [80.0, 50.0, 0.0045]
+    small = spark.createDataFrame([(0.005,), (0.015,), (0.01,)], "x double")
+    got = {r.column_name: r for r in profile.profile_columns(small, ["x"], []).collect()}["x"]
+    assert (float(got.min_number), float(got["median"]), float(got.max_number), float(got["mean"])) == (0.005, 0.01, 0.015, 0.01)
