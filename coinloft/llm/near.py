@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from coinloft.llm import text as X
@@ -16,6 +17,7 @@ from coinloft.session import cut_lineage
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 32  # a pair at 0.8 meets in no band with probability 3e-6
 PAIRED = 50  # members up to which a bucket's open pairs are compared directly
+SAMPLED, COMMON = 64, 4096  # texts of a cluster that tell its common shingles, and how many of these; they set speed, not results
 SKETCH_CHUNK = 1 << 20
 _U = np.uint64
 
@@ -104,29 +106,31 @@ def _verified(pairs: DataFrame, lists: DataFrame, similarity: float) -> DataFram
 
 
 def _rare_pairs(nodes: DataFrame, lists: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of different components that may reach ``similarity``: they share a shingle among the rarest of each.
+    """All pairs (a, b) of one cluster and different components that may reach ``similarity``: they share a shingle at the
+    head of their lists. ``nodes`` has id, component, cluster.
 
-    Of a list ordered rarest first, n - ceil(similarity n) + 1 shingles must hold one that both texts have. Before the
-    first common one no shingle is shared, so what follows it in the shorter rest must suffice for the similarity.
+    In any order that is the same for all lists of a cluster, of n shingles the first n - ceil(similarity n) + 1 must hold
+    one that both texts have, and what follows the first common one must suffice for the similarity. So the order is
+    free: the shingles seen most often in SAMPLED texts of the cluster, COMMON of them at most, come last. Only heads are written out.
     """
-    held = nodes.join(lists, "id").withColumn("n", F.size("shingles"))
+    listed = nodes.withColumn("place", F.row_number().over(W.partitionBy("cluster").orderBy(F.xxhash64("id"), "id")))
+    some = listed.where(f"place <= {SAMPLED}").select("id", "cluster").join(lists, "id")
+    seen = some.select("cluster", F.explode("shingles").alias("s")).groupBy("cluster", "s").agg(F.count("*").alias("f")).where("f > 1")
+    most = seen.withColumn("place", F.row_number().over(W.partitionBy("cluster").orderBy(F.desc("f"), "s"))).where(f"place <= {COMMON}")
+    common = cut_lineage(most.groupBy("cluster").agg(F.collect_list("s").alias("common")), "common-shingles")
+    held = nodes.join(lists, "id").join(common, "cluster", "left").withColumn("n", F.size("shingles"))
+    common_of = F.coalesce("common", F.expr("cast(array() as array<bigint>)"))
+    ordered = F.concat(F.array_sort(F.array_except("shingles", common_of)), F.array_sort(F.array_intersect("shingles", common_of)))
     lead = F.expr(f"n - ceil({similarity} * n) + 1").cast("int")
-    counts = held.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("f"), F.min("id").alias("one"))
-    counts = cut_lineage(counts, "shingle-counts")
-    # shingles no other text has come first in a list; where they fill the whole lead, no partner is possible
-    alone = counts.where("f = 1").groupBy(F.col("one").alias("id")).agg(F.count("*").cast("int").alias("u"))
-    able = held.join(alone, "id", "left").withColumn("u", F.coalesce("u", F.lit(0))).where(F.col("u") < lead)
-    shared = able.select("id", "component", "n", "u", F.explode("shingles").alias("s")).join(counts.where("f > 1"), "s")
-    ordered = shared.groupBy("id", "component", "n", "u").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("l"))
-    token = ordered.select("id", "component", "n", "u", F.posexplode(F.slice("l", F.lit(1), lead - F.col("u"))).alias("at", "t"))
-    token = token.withColumn("i", F.col("u") + F.col("at"))
-    token = token.select("id", "component", "n", (F.col("n") - F.col("i")).alias("rest"), F.col("t.s").alias("s"))
-    mixed = token.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("s")
-    token = cut_lineage(token.join(mixed, "s"), "rare-shingles")
+    token = held.select("id", "component", "cluster", "n", F.posexplode(F.slice(ordered, F.lit(1), lead)).alias("i", "s"))
+    token = cut_lineage(token.withColumn("rest", F.col("n") - F.col("i")).drop("i"), "heads")
+    mixed = token.groupBy("cluster", "s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    token = cut_lineage(token.join(mixed.select("cluster", "s"), ["cluster", "s"]), "shared-heads")
     x, y = token.alias("x"), token.alias("y")
     enough = F.least("x.rest", "y.rest") >= F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-9
     other = (F.col("x.id") > F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-    return x.join(y, (F.col("x.s") == F.col("y.s")) & other & enough).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    same = (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.s") == F.col("y.s"))
+    return x.join(y, same & other & enough).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -139,7 +143,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Buckets never become pairs as a whole: every member is compared with the bucket's least document; members that are
     then still in different components are compared directly in buckets of up to ``PAIRED`` members, and by
-    their rarest shingles, which misses no pair, in larger ones.
+    the heads of their ordered shingle lists, which misses no pair, in larger ones.
     """
     spark = docs.sparkSession
     sketch = docs.select("doc_id", "text").mapInArrow(
@@ -160,7 +164,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     links = cut_lineage(_verified(star, lists, similarity), "links")
     label = components(links)
 
-    named = member.join(label, "id", "left").select("bucket", "members", "id", F.coalesce("component", "id").alias("component"))
+    named = member.join(label, "id", "left").select("bucket", "members", "b", "id", F.coalesce("component", "id").alias("component"))
     split = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
     open_ = cut_lineage(named.join(split, "bucket"), "open-buckets")
     if not open_.isEmpty():
@@ -168,9 +172,11 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         x, y = small.alias("x"), small.alias("y")
         pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.component") != F.col("y.component")))
         pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        large = open_.where(f"members > {PAIRED}").select("id", "component").distinct()
+        large = open_.where(f"members > {PAIRED}")
         if not large.isEmpty():
-            pairs = pairs.union(_rare_pairs(large, lists, similarity))
+            # texts of different clusters share no such bucket
+            cluster = components(large.select(F.col("id").alias("a"), "b").distinct()).withColumnRenamed("component", "cluster")
+            pairs = pairs.union(_rare_pairs(large.select("id", "component").distinct().join(cluster, "id"), lists, similarity))
         more = cut_lineage(_verified(pairs.distinct().join(star, ["a", "b"], "left_anti"), lists, similarity), "links")
         if not more.isEmpty():
             label = components(links.union(more))

@@ -133,7 +133,7 @@ def test_rare_pairs_hold_every_similar_pair(spark):
     rng = np.random.default_rng(5)
     lists = {i: sorted({int(x) for x in rng.choice(60, 40, replace=False)} if i % 3 else {*range(36), *map(int, rng.integers(60, 70, 4))}) for i in range(80)}
     held = spark.createDataFrame(list(lists.items()), "id long, shingles array<long>")
-    nodes = held.select("id", F.col("id").alias("component"))
+    nodes = held.select("id", F.col("id").alias("component"), F.lit(0).alias("cluster"))
     got = {(r.a, r.b) for r in near._rare_pairs(nodes, held, 0.8).collect()}
     want = {(a, b) for a in lists for b in lists if a > b and len({*lists[a]} & {*lists[b]}) >= 0.8 * len({*lists[a]} | {*lists[b]})}
     assert want and want <= got
