@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from coinloft import rules
@@ -132,16 +134,16 @@ def _(k):
 
 @check("incremental_load", "SELECT * FROM gd_fact_transactions_daily")
 def _(k):
-    """First load up to a day, then only the months the newer rows touch; equals the full load."""
-    high_water = F.lit("2000-06-15 00:00:00").cast("timestamp_ntz")
-    month = ["year", "month"]
-    path = work_folder(k.spark, "fact")
-    full = k.silver["transactions"]
-    old = full.where(F.col("transaction_date") <= high_water)
-    build = lambda rows: gold.fact_transactions_daily({**k.silver, "transactions": rows, "accounts": k.silver["accounts"]}, k.as_of, k.run_ts)
-    tables.write_full_refresh(build(old), path, month)
-    fresh = full.where(F.col("transaction_date") > high_water)
-    touched = history.incremental_rebuild(full, fresh, ["transaction_year", "transaction_month"])
-    first = build(touched)
-    tables.write_partition_overwrite(first, path, month)
-    return k.spark.read.schema(first.schema).parquet(path).select(*first.columns)
+    """Every seventh order's rows are loaded a day later, whatever their dates; only the months they touch are rebuilt."""
+    late = F.col("transaction_id") % 70 < 10
+    loaded = F.when(late, F.lit(k.run_ts)).otherwise(F.lit(k.run_ts - dt.timedelta(days=1)))
+    rows = k.silver["transactions"].withColumn("load_timestamp", loaded)
+    month, fact_month = ["transaction_year", "transaction_month"], ["year", "month"]
+    store, path = work_folder(k.spark, "silver"), work_folder(k.spark, "fact")
+    build = lambda t: gold.fact_transactions_daily({"transactions": t, "accounts": k.silver["accounts"]}, k.as_of, k.run_ts)
+    tables.write_append(rows.where(~late), store, month)
+    tables.write_full_refresh(build(k.spark.read.parquet(store)), path, fact_month)
+    tables.write_append(rows.where(late), store, month)
+    history.incremental_load(k.spark.read.parquet(store), path, build, k.run_ts - dt.timedelta(days=1), month, fact_month)
+    shape = build(rows)
+    return k.spark.read.schema(shape.schema).parquet(path).select(*shape.columns)

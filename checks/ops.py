@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from coinloft import rules
 from coinloft.functions import calendar, clean
-from coinloft.operators import aggs, dedup, joins, ledger, tables
+from coinloft.operators import aggs, dedup, durations, joins, ledger, tables
 from coinloft.plans import gold
 from coinloft.schemas import DDL
 from coinloft.session import work_folder
@@ -301,12 +301,17 @@ check("extra_durations", f"""
            {half_up(cents('outstanding_balance') + ' * 100', cents('loan_amount'))} AS outstanding_percentage,
            ifnull(c.status = 'PENDING', FALSE) AS is_pending
     FROM raw_loans l JOIN raw_contracts c USING (contract_id)""")(
-    lambda k: k.stage["loans"].join(k.stage["contracts"].drop("interest_rate"), "contract_id").select(
-        "loan_id", F.datediff("end_date", "start_date").alias("contract_duration_days"),
-        calendar.days_until("end_date", k.as_of).alias("days_until_maturity"),
-        calendar.months_since("start_date", k.as_of).alias("months_since_start"),
-        clean.percent("outstanding_balance", "loan_amount").alias("outstanding_percentage"),
-        clean.is_true(F.col("status") == "PENDING").alias("is_pending")))
+    lambda k: durations.loan_durations(k.stage["loans"], k.stage["contracts"], k.as_of))
+check("extra_durations_applications", f"""
+    SELECT application_id, decision_date - application_date AS days_to_decision,
+           {half_up('approved_amount * 100', 'requested_amount')} AS approval_percentage FROM raw_credit_applications""")(
+    lambda k: durations.application_durations(k.stage["credit_applications"]))
+check("extra_durations_usage", f"""
+    SELECT relationship_id, {AS_OF} - start_date AS days_since_last_usage FROM raw_client_products""")(
+    lambda k: durations.days_since_use(k.stage["client_products"], "relationship_id", "start_date", k.as_of))
+check("extra_durations_transactions", """
+    SELECT transaction_uuid, ifnull(status = 'COMPLETED', FALSE) AS is_completed FROM raw_transactions""")(
+    lambda k: durations.completion(k.stage["transactions"]))
 check("coalesce_defaults", """
     SELECT transaction_uuid, ifnull(amount, 0) AS amount, ifnull(merchant_name, 'UNKNOWN') AS merchant_name,
            ifnull(to_account_id, -1) AS to_account_id FROM raw_transactions""")(

@@ -132,7 +132,7 @@ check("gq_top_branches", f"""
            {half_up("CAST(round(total_revenue_mtd * 100000) AS BIGINT)", '100000')} AS revenue_mtd,
            avg_account_balance AS avg_balance, {half_up(cents('total_deposits'), 'total_employees * 100')} AS deposits_per_employee
     FROM gd_branch_performance_dashboard WHERE total_employees > 0
-    ORDER BY total_revenue_mtd DESC, branch_id LIMIT 10""")(lambda k: reports.top_branches(k.gold))
+    ORDER BY total_revenue_mtd DESC, branch_id LIMIT 10""")(lambda k: reports.top_branches({"branch_performance_dashboard": k.gold["branch_performance"]}))
 
 check("gq_vip_360", """
     SELECT client_id, full_name, client_segment, age, city, credit_score, credit_score_category, total_accounts,

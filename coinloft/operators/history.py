@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import tables
 from .dedup import dedup_latest
 
 SCD = ["effective_date", "end_date", "is_current"]
@@ -59,10 +61,33 @@ def newer_than(df: DataFrame, column: str, high_water) -> DataFrame:
     return df.where(F.col(column) > F.lit(high_water))
 
 
-def affected_partitions(fresh: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    return fresh.select(*partition_cols).distinct()
+def affected_partitions(fresh: DataFrame, partition_cols: Sequence[str]) -> Column | None:
+    """A filter on exactly the partitions that hold fresh rows, in constants, so that only their folders are read.
+
+    The driver sees one row per touched partition (a month), not the rows. None where nothing is fresh.
+    """
+    found = fresh.select(*partition_cols).distinct().collect()
+    match = lambda c, v: F.col(c).isNull() if v is None else F.col(c) == F.lit(v)
+    folders = [reduce(lambda a, b: a & b, [match(c, row[c]) for c in partition_cols]) for row in found]
+    return reduce(lambda a, b: a | b, folders) if folders else None
+
+
+def incremental_load(
+    stored: DataFrame, path: str, build: Callable[[DataFrame], DataFrame], high_water: dt.datetime,
+    partition_cols: Sequence[str], target_cols: Sequence[str], ts_col: str = "load_timestamp",
+) -> bool:
+    """Rebuild the partitions of the table at ``path`` that rows loaded after ``high_water`` touch; False if there are none.
+
+    ``stored`` is partitioned by ``partition_cols``, and rows of one of its partitions come only into the like partition of
+    ``build``'s table. Freshness is load time: a row that arrives late with an old date is picked up.
+    """
+    touched = affected_partitions(newer_than(stored, ts_col, high_water), partition_cols)
+    if touched is None:
+        return False
+    tables.write_partition_overwrite(build(stored.where(touched)), path, target_cols)
+    return True
 
 
 def incremental_rebuild(full: DataFrame, fresh: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """All rows of the partitions the fresh rows touch: what a partition overwrite must recompute."""
-    return full.join(affected_partitions(fresh, partition_cols), list(partition_cols), "left_semi")
+    """All rows of the partitions the fresh rows touch, as a join that stays lazy."""
+    return full.join(fresh.select(*partition_cols).distinct(), list(partition_cols), "left_semi")

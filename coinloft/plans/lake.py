@@ -35,12 +35,15 @@ class _Frames(dict):
 
 
 class Lake:
-    """``stage``, ``bronze``, ``silver`` and ``gold`` map table names to DataFrames."""
+    """``stage``, ``bronze``, ``silver`` and ``gold`` map table names to DataFrames.
 
-    def __init__(self, spark: SparkSession, folder: str, as_of=banking.AS_OF, run_ts=banking.RUN_TS):
+    ``source`` gives the stage tables, as ``FileStage`` does over the declared files; without it, ``folder`` holds the benchmark tables.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str = "", as_of=banking.AS_OF, run_ts=banking.RUN_TS, source=None):
         self.spark = session.tune(spark)
         self.as_of, self.run_ts = as_of, run_ts
-        self.source = banking.Stage(spark, folder)
+        self.source = source or banking.Stage(spark, folder)
         self.stage = _Frames(self.source.table)
         self.bronze = _Frames(lambda n: load_bronze(self.stage[n], n, run_ts))
         self.silver = _Frames(lambda n: silver.BUILDERS[n](self.bronze[n], as_of, run_ts))
