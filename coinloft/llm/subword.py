@@ -7,6 +7,7 @@ scores per hash bucket; scoring adds table entries over the whole text and needs
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -72,8 +73,20 @@ def buckets(data: np.ndarray, offsets: np.ndarray, f: Features) -> tuple[np.ndar
     return np.concatenate(out) if out else np.zeros(0, _U), np.concatenate(at) if at else np.zeros(0, np.int64)
 
 
+def pack(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending ids as gaps, then their counts, byte place by byte place: about an eighth of the plain numbers."""
+    numbers = np.concatenate([np.diff(ids, prepend=0), counts]).astype("<u4")
+    return zlib.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    numbers = np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    gaps, counts = numbers[: len(numbers) // 2], numbers[len(numbers) // 2 :]
+    return np.cumsum(gaps, dtype=np.int32), counts
+
+
 def _extract(f: Features):
-    """Distinct buckets and their counts per text."""
+    """Distinct buckets and their counts per text, packed; null for a text without any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,9 +95,9 @@ def _extract(f: Features):
                 key, count = np.unique(row.astype(np.uint64) << np.uint64(32) | bucket, return_counts=True)
                 cut = np.searchsorted(key >> np.uint64(32), np.arange(end - first + 1))
                 ids = (key & np.uint64(0xFFFFFFFF)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x)) for x in (ids, count.astype(np.int32))]
+                packed = [pack(ids[a:b], count[a:b]) if b > a else None for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
                 rest = batch.slice(first, end - first)
-                yield pa.RecordBatch.from_arrays([rest.column("key"), rest.column("label"), *lists], ["key", "label", "ids", "counts"])
+                yield pa.RecordBatch.from_arrays([rest.column("key"), rest.column("label"), pa.array(packed, pa.binary())], ["key", "label", "packed"])
 
     return run
 
@@ -100,17 +113,16 @@ def sample_features(docs: DataFrame, known: DataFrame, key: str, f: Features, ma
     chosen = F.broadcast(present.orderBy(F.xxhash64("k", F.lit(17)), "k", "label").limit(max_rows))
     texts = docs.select(F.col(key).alias("k"), "text").where(F.col("text").isNotNull()).join(chosen, "k")
     chosen = texts.select(F.col("k").cast("string").alias("key"), "label", "text")
-    schema = "key string, label string, ids array<int>, counts array<int>"
-    rows = chosen.repartition(16, "key").mapInArrow(_extract(f), schema).toArrow()
-    # a text of k features sends k numbers; the count of texts is bounded, so is the model's input
+    rows = chosen.repartition(16, "key").mapInArrow(_extract(f), "key string, label string, packed binary").toArrow()
+    # a text of k features sends about k bytes; the count of texts is bounded, so is the model's input
     order = np.lexsort((np.asarray(rows["label"].to_pylist()), np.asarray(rows["key"].to_pylist()))) if rows.num_rows else []
-    ids, counts, labels = rows["ids"].combine_chunks(), rows["counts"].combine_chunks(), rows["label"].to_pylist()
+    labels, packed = rows["label"].to_pylist(), rows["packed"]
     out = []
-    for i in order:
-        b, c = ids[int(i)].values, counts[int(i)].values
-        if b is not None and len(b):
-            share = np.asarray(c, np.float32)
-            out.append((labels[int(i)], np.asarray(b, np.int64), share / share.sum()))
+    for i in map(int, order):
+        if packed[i].is_valid:
+            ids, counts = unpack(packed[i].as_py())
+            share = counts.astype(np.float32)
+            out.append((labels[i], ids, share / share.sum()))
     return out
 
 

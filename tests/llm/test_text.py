@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from coinloft.llm import chats, near, neighbours, secrets
+from coinloft.llm import subword as S
 from coinloft.llm import text as X
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -44,6 +45,14 @@ def test_chunks_keep_every_row_and_long_texts_whole():
     assert [g[0] for g in got][0] == 0 and got[-1][1] == 5 and sum(g[2] for g in got) == 3011
 
 
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.tuples(st.integers(0, 2**17 - 1), st.integers(1, 2**31 - 1)), min_size=1, max_size=50, unique_by=lambda x: x[0]))
+def test_packed_features_are_read_back(pairs):
+    ids, counts = np.array(sorted(pairs), np.int64).T
+    got_ids, got_counts = S.unpack(S.pack(ids.astype(np.int32), counts))
+    assert got_ids.tolist() == ids.tolist() and got_counts.tolist() == counts.tolist()
+
+
 def test_prob_minhash_estimates_the_probability_jaccard():
     rng = np.random.default_rng(1)
     a, b = np.arange(1, 101, dtype=np.uint64), np.arange(31, 131, dtype=np.uint64)
