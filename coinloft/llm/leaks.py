@@ -45,14 +45,25 @@ def items(benchmark: DataFrame) -> DataFrame:
     return t.withColumn("sh", F.expr(_shingles("w", "width"))).select("item_id", "len", "width", "sh").distinct()
 
 
-def windows(docs: DataFrame, item: DataFrame) -> DataFrame:
-    """doc_id, len, width, start, sh: windows as long as an item, wherever a document shares a word shingle with the benchmark.
+def _starts(need: str) -> str:
+    """Places, ascending, from which ``n`` shingles hold at least ``need`` of those at the ascending places ``p``.
 
-    A window that shares no shingle has similarity 0, and among whole windows none is better than one that puts a shared
-    shingle where the item has it, so only those are formed. At a text's ends they are cut, and also moved. All documents are read whole; the index of the benchmark's shingles is
+    These are p[i + need - 1] - n + 1 to p[i] for some i; what stands at or before p[i - 1] came with an earlier i.
+    """
+    span = f"struct(greatest(p[i + {need} - 1] - n + 1, get(p, i - 1) + 1) as lo, p[i] as hi)"
+    spans = f"filter(transform(sequence(0, size(p) - {need}), i -> {span}), r -> r.lo <= r.hi)"
+    return f"if(size(p) < {need}, cast(array() as array<int>), flatten(transform({spans}, r -> sequence(r.lo, r.hi))))"
+
+
+def windows(docs: DataFrame, item: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, len, width, start, sh: windows as long as an item, at every place of a document where one may reach ``similarity``.
+
+    Of an item's n shingles and a window's m, similarity s needs s (n + m) / (1 + s) in common: for a whole window, m = n;
+    for one cut at an end of the text, m < n, it is more than s n. So a window is formed wherever so many of its shingles
+    stand in items of its length, in whatever order. All documents are read whole; the index of the benchmark's shingles is
     broadcast if it is small by count, and joined by shuffle otherwise.
     """
-    index = item.select("width", "len", F.posexplode("sh").alias("off", "h")).select("h", "width", "len", "off").distinct()
+    index = item.select("width", "len", F.explode("sh").alias("h")).select("h", "width", "len").distinct()
     widths = sorted(r.width for r in index.select("width").distinct().collect())  # 1 to 5
     index = cut_lineage(index, "item-shingles")
     index = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
@@ -60,21 +71,22 @@ def windows(docs: DataFrame, item: DataFrame) -> DataFrame:
     hits = None
     for width in widths:
         at = w.select("doc_id", F.posexplode(F.expr(_shingles("w", str(width)))).alias("pos", "h"))
-        found = at.join(index.where(F.col("width") == width), "h").select("doc_id", (F.col("pos") - F.col("off")).alias("start"), "len", "width")
+        found = at.join(index.where(F.col("width") == width), "h").select("doc_id", "pos", "len", "width")
         hits = found if hits is None else hits.union(found)
     if hits is None:
         return w.select("doc_id", *[F.lit(0).alias(c) for c in ("start", "len", "width")], F.expr("cast(array() as array<bigint>)").alias("sh")).limit(0)
-    wanted = hits.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "len", "width")).alias("wins"))  # at most a few per word
-    wanted = cut_lineage(wanted, "windows")
-    cut = "slice(w, greatest(win.start, 0) + 1, least(win.start + win.len, size(w)) - greatest(win.start, 0))"
+    least = lambda share: F.greatest(F.lit(1), F.ceil(F.lit(share) * F.col("n") - 1e-9).cast("int"))
+    placed = hits.groupBy("doc_id", "len", "width").agg(F.array_sort(F.collect_set("pos")).alias("p")).withColumn("n", F.expr("len - width + 1"))
+    placed = placed.withColumns({"cut_need": least(similarity), "whole_need": least(2 * similarity / (1 + similarity))}).where("size(p) >= cut_need")
+    placed = placed.select("doc_id", F.struct("len", "width", F.expr(_starts("whole_need")).alias("whole"), F.expr(_starts("cut_need")).alias("cut")).alias("win"))
+    wanted = cut_lineage(placed.groupBy("doc_id").agg(F.collect_list("win").alias("wins")), "windows")
     inside = docs.where("doc_id is not null").select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "wins", words(F.col("text")).alias("w"))
-    # a window cut at an end of the text may fit better when moved further over it, by a fifth of its shingles at most
-    reach = "int((win.len - win.width + 1) div 5)"
-    moved = f"filter(sequence(win.start - {reach}, win.start + {reach}), s -> s = win.start or s < 0 or s + win.len > size(w))"
-    starts = f"array_distinct(flatten(transform(wins, win -> transform({moved}, s -> struct(s as start, win.len as len, win.width as width)))))"
     # with repeated doc_ids a window may lie beyond a shorter text
-    fits = f"filter({starts}, win -> win.start < size(w) and win.start + win.len > 0)"
-    each = inside.select("doc_id", F.explode(F.expr(f"transform({fits}, win -> struct(win.start as start, win.len as len, win.width as width, {cut} as w))")).alias("v"))
+    whole = "filter(g.whole, s -> s >= 0 and s + g.len <= size(w))"
+    cut = "filter(g.cut, s -> (s < 0 or s + g.len > size(w)) and s < size(w) and s + g.len > 0)"
+    starts = f"flatten(transform(wins, g -> transform(concat({whole}, {cut}), s -> struct(s as start, g.len as len, g.width as width))))"
+    own = "slice(w, greatest(win.start, 0) + 1, least(win.start + win.len, size(w)) - greatest(win.start, 0))"
+    each = inside.select("doc_id", F.explode(F.expr(f"transform({starts}, win -> struct(win.start as start, win.len as len, win.width as width, {own} as w))")).alias("v"))
     return each.select("doc_id", "v.start", "v.len", "v.width", F.expr(_shingles("v.w", "v.width")).alias("sh")).where("size(sh) > 0")
 
 
@@ -88,7 +100,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     """
     item = cut_lineage(items(benchmark.where("item_id is not null")), "items")
     item_f = cut_lineage(item.select("item_id", "len", _tagged("sh").alias("item_set"), _fingerprint("sh").alias("item_f")), "item-prints")
-    win = windows(docs, item).select("doc_id", "start", "len", _tagged("sh").alias("win_set"), _fingerprint("sh").alias("win_f"))
+    win = windows(docs, item, similarity).select("doc_id", "start", "len", _tagged("sh").alias("win_set"), _fingerprint("sh").alias("win_f"))
     win = cut_lineage(win.dropDuplicates(["doc_id", "start", "len", "win_f"]), "window-prints")
     left = win.select("doc_id", "start", "len", "win_f", _blocks("win_f").alias("k")).select("doc_id", "start", "len", "win_f", "k.block", "k.bits")
     right = item_f.select("item_id", "len", "item_f", _blocks("item_f").alias("k")).select("item_id", "len", "item_f", "k.block", "k.bits")

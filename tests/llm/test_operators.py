@@ -377,6 +377,39 @@ def test_leaks_equal_brute_force(spark):
     assert {r.doc_id for r in rest.collect()} == (set(texts) | {None, 90, 91}) - {d for d, _ in want}
 
 
+def test_leaks_find_reordered_passages(spark):
+    """Halves swapped, ends moved to the other side, parts shuffled, at the ends of a text and within; every start counts."""
+    items = {i: [f"i{i}w{j}" for j in range(n)] for i, n in enumerate([100, 40, 100])}
+    items[2] = items[0][:50] + items[2][:50]
+    fill = [f"x{j}" for j in range(400)]
+    texts = {}
+    for i, x in items.items():
+        n = len(x)
+        orders = [x[n // 2 :] + x[: n // 2], x[-n // 5 :] + x[: -n // 5], x[n // 4 :] + x[: n // 4], x[: n // 3] + x[2 * n // 3 :] + x[n // 3 : 2 * n // 3],
+                  x[::-1], x[n // 2 :], x[: n // 2] + fill[:30] + x[n // 2 :]]
+        for k, part in enumerate(orders):
+            for m, at in enumerate((0, 200, 400)):
+                texts[i * 100 + k * 10 + m] = fill[:at] + part + fill[at:]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+
+    def bag(w):
+        return collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+
+    own, want = {i: bag(x) for i, x in items.items()}, {}
+    for d, w in texts.items():
+        for i, x in items.items():
+            best = (0.0, 0)
+            for s in range(-len(x) + 1, len(w)):
+                win = bag(w[max(s, 0) : s + len(x)])
+                both = sum((win & own[i]).values())
+                best = max(best, (both / (sum(win.values()) + sum(own[i].values()) - both), -s))
+            if best[0] >= 0.8:
+                want[d, i] = (-best[1], round(best[0], 9))
+    got = {(r.doc_id, r.item_id): (r.start, round(r.similarity, 9)) for r in leaks.leaks(docs, bench).collect()}
+    assert {0, 1, 2, 10, 11, 12} <= {d for d, _ in want} and got == want
+
+
 # --- pipeline ----------------------------------------------------------------------------------------
 
 
