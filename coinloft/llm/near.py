@@ -1,4 +1,4 @@
-"""Near-copy removal with ProbMinHash: weighted word shingles, banding, verification, connected components."""
+"""Near-copy removal with ProbMinHash: weighted and plain word shingles, banding, verification, connected components."""
 
 from __future__ import annotations
 
@@ -67,18 +67,32 @@ def _counted(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return hashes, rows, found[first], at[first], np.diff(np.append(first, len(found)))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(shingle: np.ndarray, rows: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """(n, BANDS) keys, each of ROWS slots of the signature."""
     factors = X.seeds(ROWS * BANDS, 29).reshape(BANDS, ROWS) | _U(1)
+    with np.errstate(over="ignore"):
+        signature = prob_minhash(shingle, rows, weights, n, ROWS * BANDS).reshape(n, BANDS, ROWS)
+        return X.mix((signature * factors[None]).sum(axis=2, dtype=np.uint64) + X.seeds(BANDS, 31)[None])
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bands of the weighted shingles, and, if a text repeats any, of its set of shingles too.
+
+    A text without repeats has the same bands either way, so every two texts meet with the probability that their sets give.
+    """
     for batch in batches:
         for first, end, data, offsets in X.chunks(batch.column("text"), SKETCH_CHUNK):
             n = end - first
             hashes, word_rows, shingle, rows, count = _counted(data, offsets)
-            with np.errstate(over="ignore"):
-                signature = prob_minhash(shingle, rows, 1 + np.log2(count), n, ROWS * BANDS).reshape(n, BANDS, ROWS)
-                band = X.mix((signature * factors[None]).sum(axis=2, dtype=np.uint64) + X.seeds(BANDS, 31)[None])
+            band = _bands(shingle, rows, 1 + np.log2(count), n)
+            again = np.unique(rows[count > 1])
+            part = np.isin(rows, again)
+            plain = _bands(shingle[part], np.searchsorted(again, rows[part]), np.ones(int(part.sum())), len(again))
             keys = X.sequence_keys(hashes, word_rows, n).view(np.int64)
             n_words = np.bincount(word_rows, minlength=n)
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(band.view(np.int64).ravel()))
+            cut = np.arange(n + 1) + np.searchsorted(again, np.arange(n + 1))  # lists of bands before each row
+            lists = np.insert(band, again + 1, plain, axis=0)
+            bands = pa.ListArray.from_arrays(pa.array(cut * BANDS, pa.int32()), pa.array(lists.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(first, n), pa.array(n_words.astype(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), bands],
                 ["doc_id", "n_words", "k1", "k2", "bands"],
@@ -151,7 +165,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sketch = cut_lineage(sketch, "sketches")
     worded = sketch.where("n_words > 0 and doc_id is not null")
     classes = cut_lineage(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "classes")
-    member = classes.select("id", F.explode("bands").alias("bucket"))
+    member = classes.select("id", F.explode(F.array_distinct("bands")).alias("bucket"))
     bucket = member.groupBy("bucket").agg(F.min("id").alias("b"), F.count("*").alias("members")).where("members > 1")
     member = cut_lineage(member.join(bucket, "bucket"), "buckets")  # of shared buckets only
 

@@ -129,6 +129,22 @@ def test_large_buckets_lose_no_link(spark):
     assert {r.doc_id: r.group_id for r in near.near_copies(docs).collect()} == groups(texts)
 
 
+def test_near_copies_with_other_repeat_counts_meet(spark):
+    """A line, or a passage, that one of two copies repeats much more often: the sets stay alike, the counts do not."""
+    texts = {}
+    for k in range(30):
+        for kind, (own, line, times) in enumerate([(100, 12, 200), (20, 30, 300), (200, 30, 400)]):
+            start, repeat = [f"k{k}t{kind}w{j}" for j in range(own)], [f"k{k}t{kind}r{j}" for j in range(line)]
+            d = 10 * k + 3 * kind
+            texts[d] = " ".join(start + repeat * 2)
+            texts[d + 1] = " ".join(start + repeat * times)
+            texts[d + 2] = " ".join(start[1:] + repeat * 2)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = groups(texts)
+    assert len(set(want.values())) == 90
+    assert {r.doc_id: r.group_id for r in near.near_copies(docs).collect()} == want
+
+
 def test_rare_pairs_hold_every_similar_pair(spark):
     rng = np.random.default_rng(5)
     lists = {i: sorted({int(x) for x in rng.choice(60, 40, replace=False)} if i % 3 else {*range(36), *map(int, rng.integers(60, 70, 4))}) for i in range(80)}
