@@ -348,6 +348,31 @@ def test_a_window_of_context_gives_the_whole_rendering(spark):
     assert "".join(pieces) == chats.template([(r, t) for _, _, r, t in turns])
 
 
+def test_other_templates_see_all_earlier_turns(spark):
+    rows = [(1, i, "user" if i % 2 == 0 else "assistant", f"text {i}") for i in range(13)]
+    turns = [(r, t) for _, _, r, t in rows]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+    def forgets(ts):  # shortens the turn five before the last one
+        return "".join(f"<{r}>{'~' if i == len(ts) - 6 else t}\n" for i, (r, t) in enumerate(ts))
+
+    def numbered(ts):
+        return "".join(f"{i} <{r}>{t}\n" for i, (r, t) in enumerate(ts))
+
+    def strict(ts):
+        if ts and ts[0][0] != "user":
+            raise ValueError("user first")
+        return "".join(f"<{r}>{t}\n" for r, t in ts)
+
+    got = chats.formatted(df, forgets).orderBy("n").collect()
+    assert [r.rewritten for r in got] == [not forgets(turns[: i + 1]).startswith(forgets(turns[:i])) for i in range(13)]
+    assert sum(r.rewritten for r in got) == 8
+    for render in (numbered, strict):
+        got = chats.formatted(df, render).orderBy("n").collect()
+        assert "".join(r.piece for r in got) == render(turns) and not any(r.rewritten for r in got)
+        assert [r.piece[r.text_from : r.text_to] for r in got] == [t for _, t in turns]
+
+
 def test_leaks_equal_brute_force(spark):
     rng = np.random.default_rng(11)
     items = {i: [f"i{i}w{j}" for j in range(n)] for i, n in enumerate([14, 20, 40, 59, 3, 5, 60])}
