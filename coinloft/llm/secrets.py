@@ -21,10 +21,14 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20  # characters
-# character class: (members, bits of entropy in a window that mark it); random text of the class lies well above
+# character class: (members, bits of entropy in a window that mark it); of windows of random text of the class (hex in
+# one case, base64 of 64 characters), 1 % at most lie below
 CLASSES = {
-    "hex": (b"0123456789abcdefABCDEF", 3.0),
-    "base64": (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 3.8),
+    "hex": (b"0123456789abcdefABCDEF", 2.9),
+    "base32": (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 3.34),
+    "upper": (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 3.4),
+    "lower": (b"abcdefghijklmnopqrstuvwxyz0123456789", 3.4),
+    "base64": (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 3.64),
 }
 # fixed values: harmless strings that look like keys; a span inside or around one is dropped
 ALLOWED = (
