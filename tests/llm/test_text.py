@@ -99,6 +99,17 @@ def test_random_tokens_of_usual_alphabets_get_a_span():
         assert sum(secrets.entropy_spans(t) == [(0, secrets.WINDOW)] for t in tokens) >= least * len(tokens)
 
 
+def test_what_stands_beside_an_allowed_string_is_scanned():
+    def spans(run):
+        return [(b, e) for b, kind, e in secrets.row_spans(run, [], [(0, len(run))], secrets.ALLOWED) if kind == 3]
+
+    listed, key = secrets.ALLOWED[0], b"q7RtZ1mXw9Kc4VbN0sLpY3hGd8Jf"
+    n, k = len(listed), len(key)
+    assert spans(key) == [(0, k)] and spans(listed) == spans(listed * 2) == spans(listed + b"/short1") == []
+    assert spans(listed + key) == [(n, n + k)] and spans(key + listed) == [(0, k)]
+    assert spans(key + listed + key + secrets.ALLOWED[1]) == [(0, k), (k + n, k + n + k)]
+
+
 @settings(deadline=None, max_examples=80)
 @given(st.text(alphabet="&<[>;lt#91 \nax/|", max_size=40), st.sampled_from(["user", "assistant", "a\nb<"]))
 def test_template_is_reversible_and_hides_control_strings(text, role):
