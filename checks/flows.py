@@ -89,7 +89,7 @@ check("churn_features", f"""
     lambda k: features.churn_features(k.silver, k.as_of))
 
 check("fraud_model")(lambda k: models.fraud_model(features.fraud_features(k.silver))[1])
-check("tune_grid_cv")(lambda k: models.tune_grid_cv(features.fraud_features(k.silver), trees=(5, 10), depths=(5,), min_rows=(1,)))
+check("tune_grid_cv")(lambda k: models.tune_grid_cv(features.fraud_features(k.silver)))
 check("credit_risk_model")(lambda k: models.credit_risk_model(features.credit_risk_features(k.silver))[0])
 check("churn_model")(lambda k: models.churn_model(features.churn_features(k.silver, k.as_of))[0])
 check("doc_classify")(lambda k: models.doc_classify(k.raw("documents"), k.raw("labels"))[0])

@@ -128,6 +128,13 @@ def test_grid_search_returns_every_point(spark):
     assert len(out) == 4 and sum(r.test_auc is not None for r in out) == 1
 
 
+def test_the_registered_grid_search_has_every_point(spark, monkeypatch):
+    given = {}
+    monkeypatch.setattr(models, "tune_grid_cv", lambda table, **changed: given.update(changed))
+    SPARK["tune_grid_cv"](Lake(spark, FOLDER))
+    assert given == {}
+
+
 WIDE = ["dim_client", "dim_account", "fact_transactions_daily", "client_360_view", "aq_branch_comparison", "aq_segmentation",
         "aq_cards", "aq_product_effectiveness", "churn_features", "left_join_on_filter", "agg_percentile"]
 
