@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coinloft.llm import chats, language, leaks, licences, mixing, near, neighbours, quality, secrets, sharding
+from coinloft.llm import chats, language, leaks, licences, manifest, mixing, near, neighbours, phrases, quality, secrets, sharding, toxicity
 
 _shipped: set[str] = set()
 
@@ -78,9 +78,24 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified(table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_near_copies, op3_licences, op4_shards, op5_mix, op6_secrets, op7_neighbours, op8_chats, op9_language, op10_leaks)
+    for f in (
+        op1_quality, op2_near_copies, op3_licences, op4_shards, op5_mix, op6_secrets, op7_neighbours, op8_chats, op9_language, op10_leaks,
+        op11_manifest, op12_toxicity, op13_phrases,
+    )
 }
 # the others have learned models, seeded draws, iterated joins or digests that SQL lacks; their tests compare with brute force
-SQL: dict[str, str] = {"op3_licences": licences.twin(), "op5_mix": mixing.twin(), "op8_chats": chats.twin()}
+SQL: dict[str, str] = {"op3_licences": licences.twin(), "op5_mix": mixing.twin(), "op8_chats": chats.twin(), "op11_manifest": manifest.twin(), "op13_phrases": phrases.twin()}
