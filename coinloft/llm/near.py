@@ -93,9 +93,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut = np.arange(n + 1) + np.searchsorted(again, np.arange(n + 1))  # lists of bands before each row
             lists = np.insert(band, again + 1, plain, axis=0)
             bands = pa.ListArray.from_arrays(pa.array(cut * BANDS, pa.int32()), pa.array(lists.view(np.int64).ravel()))
+            own = [batch.column(c).slice(first, n) for c in ("doc_id", "p1", "p2")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(first, n), pa.array(n_words.astype(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), bands],
-                ["doc_id", "n_words", "k1", "k2", "bands"],
+                [*own, pa.array(n_words.astype(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), bands],
+                ["doc_id", "p1", "p2", "n_words", "k1", "k2", "bands"],
             )
 
 
@@ -147,31 +148,21 @@ def _rare_pairs(nodes: DataFrame, lists: DataFrame, similarity: float) -> DataFr
     return x.join(y, same & other & enough).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id, group_id, kept: one row per input row.
-
-    ``class_id`` is the least doc_id with the same sequence of words, ``group_id`` the least doc_id of the group that
-    links of similarity ``similarity`` or more between five-word shingle sets join; ``kept`` marks the group's one
-    remaining document. Texts without a word (empty, null) are groups of their own. Rows without a doc_id are kept and
-    belong to no group. Repeated rows share all values. An empty table gives an empty table.
-
-    Buckets never become pairs as a whole: every member is compared with the bucket's least document; members that are
-    then still in different components are compared directly in buckets of up to ``PAIRED`` members, and by
-    the heads of their ordered shingle lists, which misses no pair, in larger ones.
-    """
-    spark = docs.sparkSession
-    sketch = docs.select("doc_id", "text").mapInArrow(
-        _sketch, "doc_id long, n_words long, k1 long, k2 long, bands array<long>")
+def _grouped(docs: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, p1, p2, class_id, group_id, kept per row of ``docs`` (doc_id, p1, p2, text); see ``near_copies``."""
+    sketch = docs.mapInArrow(_sketch, "doc_id long, p1 long, p2 long, n_words long, k1 long, k2 long, bands array<long>")
     sketch = cut_lineage(sketch, "sketches")
-    worded = sketch.where("n_words > 0 and doc_id is not null")
-    classes = cut_lineage(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "classes")
+    worded = sketch.where("n_words > 0")
+    # a row without a doc_id stands behind all others; equal ids are told apart by their prints
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "p1", "p2")
+    classes = worded.groupBy("k1", "k2").agg(F.min(row).alias("first"), F.min("bands").alias("bands"))
+    classes = cut_lineage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     member = classes.select("id", F.explode(F.array_distinct("bands")).alias("bucket"))
     bucket = member.groupBy("bucket").agg(F.min("id").alias("b"), F.count("*").alias("members")).where("members > 1")
     member = cut_lineage(member.join(bucket, "bucket"), "buckets")  # of shared buckets only
 
-    nodes = member.select("id").distinct()
-    text = docs.select(F.col("doc_id").alias("id"), "text")
-    lists = text.join(nodes, "id", "left_semi").mapInArrow(_shingle_lists, "id long, shingles array<long>")
+    nodes = classes.join(member.select("id").distinct(), "id", "left_semi").select("id", F.col("first.p1").alias("p1"), F.col("first.p2").alias("p2"))
+    lists = docs.select("p1", "p2", "text").join(nodes, ["p1", "p2"]).select("id", "text").mapInArrow(_shingle_lists, "id long, shingles array<long>")
     lists = cut_lineage(lists.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
 
     star = member.where("id <> b").select(F.col("id").alias("a"), "b").distinct()
@@ -195,14 +186,51 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if not more.isEmpty():
             label = components(links.union(more))
 
-    of_class = classes.join(label, "id", "left").select("k1", "k2", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("group_id"))
-    grouped = worded.select("doc_id", "k1", "k2").join(of_class, ["k1", "k2"]).select("doc_id", "class_id", "group_id")
-    alone = sketch.where("n_words = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("group_id"))
-    return grouped.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("group_id"), F.lit(True)))
+    linked = classes.select("id", "first").join(label, "id")
+    least = linked.groupBy("component").agg(F.min("first").alias("least"))
+    of_node = label.join(least, "component").select("id", "least")
+    of_class = classes.join(of_node, "id", "left").select("k1", "k2", "first", F.coalesce("least", "first").alias("least"))
+    grouped = worded.select("doc_id", "p1", "p2", "k1", "k2").join(of_class, ["k1", "k2"]).select(
+        "doc_id", "p1", "p2", F.col("first.doc_id").alias("class_id"), F.col("least.doc_id").alias("group_id"),
+        ((F.col("p1") == F.col("least.p1")) & (F.col("p2") == F.col("least.p2"))).alias("kept"))
+    alone = sketch.where("n_words = 0").select(
+        "doc_id", "p1", "p2", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("group_id"), F.lit(True).alias("kept"))
+    return grouped.union(alone)
+
+
+def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id, group_id, kept: one row per input row.
+
+    ``class_id`` is the least doc_id with the same sequence of words, ``group_id`` the least doc_id of the group that
+    links of similarity ``similarity`` or more between five-word shingle sets join; ``kept`` marks the group's one
+    remaining document. A document is a doc_id with a text: rows that share both are one and share all values, rows that
+    share a doc_id only are compared like any others. Rows without a doc_id are documents too; they come behind all others, so that
+    a group's ids are null only if none of its rows has one. Texts without a word (empty, null) are groups of their
+    own. An empty table gives an empty table.
+
+    Buckets never become pairs as a whole: every member is compared with the bucket's least document; members that are
+    then still in different components are compared directly in buckets of up to ``PAIRED`` members, and by
+    the heads of their ordered shingle lists, which misses no pair, in larger ones.
+    """
+    p1, p2 = X.row_prints()
+    return _grouped(docs.select("doc_id", p1.alias("p1"), p2.alias("p2"), "text"), similarity).drop("p1", "p2")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, with their columns, of one document of each group; a repeated doc_id stays once."""
-    gone = near_copies(docs, similarity).where("not kept").select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return rest.where("doc_id is not null").dropDuplicates(["doc_id"]).union(rest.where("doc_id is null"))
+    """The rows of ``docs``, with their columns, of one document of each group, each document once.
+
+    Of rows that agree in doc_id and text, the one whose other columns have the least hash stays.
+    """
+    names = docs.columns
+    p1, p2 = X.row_prints()
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(names)], p1.alias("p1"), p2.alias("p2"))
+    id_, text = f"c_{names.index('doc_id')}", f"c_{names.index('text')}"
+    gone = _grouped(inner.select(F.col(id_).alias("doc_id"), "p1", "p2", F.col(text).alias("text")), similarity)
+    rest = inner.join(gone.where("not kept").select("p1", "p2").distinct(), ["p1", "p2"], "left_anti")
+    others = [c for c, kind in inner.dtypes if c.startswith("c_") and c not in (id_, text)]
+    hashed = [c for c, kind in inner.dtypes if c in others and "map<" not in kind and "variant" not in kind]
+    if not others:
+        rest = rest.dropDuplicates(["p1", "p2", id_, text])
+    else:
+        rest = rest.groupBy("p1", "p2", id_, text).agg(F.min_by(F.struct(*others), F.xxhash64(*hashed) if hashed else F.lit(0)).alias("o"))
+    return rest.select(*[F.col(c if c in (id_, text) else f"o.{c}").alias(n) for n, c in zip(names, [f"c_{i}" for i in range(len(names))], strict=True)])
