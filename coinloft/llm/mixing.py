@@ -125,10 +125,10 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     """
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     names = docs.columns
-    count = mix(docs).where("size > 0").groupBy("doc_id").agg(F.max(copies).alias("n__copies")).where("n__copies > 0")
-    each = docs.alias("d").join(count.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")))
-    each = each.select(*[F.col(f"d.`{c}`") for c in names], F.explode(F.expr("sequence(1, n__copies)")).alias("n__copy"))
-    return each.select(*[F.col(f"`{c}`") for c in names])
+    count = mix(docs.select("doc_id", "source", "text")).where("size > 0").groupBy("doc_id").agg(F.max(copies).alias("n")).where("n > 0")
+    each = docs.select(*[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(names)])
+    each = each.join(count, F.col(f"c_{names.index('doc_id')}").eqNullSafe(F.col("doc_id"))).withColumn("copy", F.explode(F.expr("sequence(1, n)")))
+    return each.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(names)])
 
 
 def twin() -> str:

@@ -125,6 +125,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def in_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The rows and columns of ``docs`` with size, text_crc32, shard and slot: the texts move once, by range."""
-    return assign(docs.drop("size", "text_crc32", "shard", "slot"), shards).select(
-        *[c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")], "size", "text_crc32", "shard", "slot")
+    """The rows and columns of ``docs`` with size, text_crc32, shard and slot: the texts move once, by range.
+
+    Columns of these four names are replaced; any other name may occur.
+    """
+    added = ("size", "text_crc32", "shard", "slot")
+    names = [c for c in docs.columns if c not in added]
+    inner = docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"c_{i}") for i, c in enumerate(names)])
+    return assign(inner, shards).select(*[F.col(c if c in ("doc_id", "text") else f"c_{i}").alias(c) for i, c in enumerate(names)], *added)
