@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -141,21 +142,34 @@ def mask_partial(value: ColumnLike, keep: int = 3) -> Column:
     return F.concat(F.substring(as_col(value).cast("string"), 1, keep), F.lit("***"))
 
 
-RATIO = "decimal(26,8)"  # operands of ratios: eight decimals, 10^18 before them
+def _quotient(part: Column, whole: Column, factor: int, places: int) -> Column:
+    """factor * part / whole, rounded half up once; NULL where whole is zero or NULL.
+
+    Whole numbers and decimals are divided with remainder, so no digit is rounded twice; the result is DECIMAL(38, places).
+    Their scale may be up to 6, or more as long as all digits and ``places`` fit 38. As soon as one side is floating, both are, and the result
+    is a double.
+    """
+    a = part * F.lit(Decimal(factor * 10**places))  # a decimal, or a double if the column is one
+    b = F.nullif(whole * F.lit(Decimal(1)), F.lit(0))
+    rest = a % b
+    away = F.when((rest < 0) != (b < 0), F.lit(Decimal(-1))).otherwise(F.lit(Decimal(1)))
+    units = (a - rest) / b + F.when(F.abs(rest) * 2 >= F.abs(b), away).otherwise(F.lit(Decimal(0)))
+    exact = units.cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-places))
+    scaled = part * F.lit(Decimal(factor))
+    floating = F.typeof(scaled / b).isin("double", "float")  # known when the plan is made: one branch remains
+    return F.when(floating, F.round(scaled / b, places)).otherwise(exact)
 
 
 def percent(part: ColumnLike, whole: ColumnLike, other: Column | None = None, places: int = 2) -> Column:
-    """100 * part / whole in decimal arithmetic; ``other`` where whole is not positive."""
-    a, b = as_col(part).cast(RATIO), as_col(whole).cast(RATIO)
-    ratio = F.round(F.try_divide(a * F.lit(100), b), places)
-    guarded = F.when(b > 0, ratio)
+    """100 * part / whole, exact and rounded once; ``other`` where whole is not positive."""
+    b = as_col(whole)
+    guarded = F.when(b > 0, _quotient(as_col(part), b, 100, places))
     return guarded if other is None else guarded.otherwise(other)
 
 
 def exact_ratio(part: ColumnLike, whole: ColumnLike, places: int = 2) -> Column:
-    """part / whole rounded half up in decimal arithmetic; NULL on a zero divisor."""
-    a, b = as_col(part).cast(RATIO), as_col(whole).cast(RATIO)
-    return F.round(F.try_divide(a, b), places)
+    """part / whole, exact and rounded half up once; NULL on a zero divisor."""
+    return _quotient(as_col(part), as_col(whole), 1, places)
 
 
 def first_of(conditions: Mapping[str, Column], separator: str, keep_empty: bool = False) -> Column:

@@ -228,6 +228,25 @@ def test_expired_partitions_of_a_catalog_table_are_dropped(spark):
     spark.sql("DROP TABLE retained")
 
 
+def test_ratios_are_exact_and_rounded_once(spark):
+    """Half-way quotients, quotients just beside them, sums beyond 64 bits, tiny doubles, signs, zero and NULL divisors."""
+    d = lambda x, kind: F.lit(x).cast(kind)
+    row = spark.range(1).select(
+        clean.percent(d("7036.90", "decimal(10,2)"), d("142958.14", "decimal(12,2)"), places=4).alias("beside_half"),  # 4.922349997...
+        clean.exact_ratio(F.lit(1), F.lit(8)).alias("half"), clean.exact_ratio(F.lit(-1), F.lit(8)).alias("minus_half"),
+        clean.exact_ratio(d("9223372036854775807", "bigint"), F.lit(7)).alias("long"),
+        clean.exact_ratio(d("9" * 28, "decimal(28,0)"), F.lit(7)).alias("wide"),
+        clean.exact_ratio(F.lit(1e-12), F.lit(4e-12)).alias("tiny"), clean.percent(F.lit(1e-12), F.lit(4e-12)).alias("tiny_percent"),
+        clean.exact_ratio(F.lit(10), F.lit(-3), 0).alias("minus"), clean.exact_ratio(F.lit(1), F.lit(0)).alias("zero"),
+        clean.exact_ratio(d(None, "int"), F.lit(3)).alias("null"), clean.percent(F.lit(1), F.lit(0), F.lit(0)).alias("other"),
+    ).first()
+    assert [str(x) for x in row[:5]] == ["4.9223", "0.13", "-0.13", "1317624576693539401.00", "1428571428571428571428571428.43"]
+    assert (row.tiny, row.tiny_percent, row.zero, row["null"]) == (0.25, 25.0, None, None) and [float(row.minus), float(row.other)] == [-3, 0]
+    rows = spark.createDataFrame([(1, 2.0), (2, 4.0), (2, None)], "k int, x double")
+    mean = rows.agg(clean.exact_ratio(F.sum("k"), F.count("*"), 4).alias("k"), clean.exact_ratio(F.sum("x"), F.count("x")).alias("x"))
+    assert dict(mean.dtypes) == {"k": "decimal(38,4)", "x": "double"} and str(mean.first().k) == "1.6667" and mean.first().x == 3.0
+
+
 def test_ratios_keep_small_values(spark):
     row = spark.range(1).select(
         clean.percent(F.lit("0.004").cast("decimal(6,3)"), F.lit("0.005").cast("decimal(6,3)")).alias("a"),
