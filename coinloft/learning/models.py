@@ -7,13 +7,14 @@ times and must not repeat the joins, and a lost executor only re-reads files.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, StandardScaler, StringIndexer, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,30 +107,56 @@ def fraud_model(features: DataFrame, trees: int = 100, depth: int = 10, seed: in
     return scored, evaluate(scored)
 
 
+def _first_trees(forest: RandomForestClassificationModel, count: int) -> RandomForestClassificationModel:
+    """The forest of the first ``count`` trees. Trees are grown independently, so it is a forest of that size like any other."""
+    java, context = forest._java_obj, SparkContext._active_spark_context
+    kept = context._gateway.new_array(context._jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel, count)
+    for i, tree in enumerate(list(java.trees())[:count]):
+        kept[i] = tree
+    small = context._jvm.org.apache.spark.ml.classification.RandomForestClassificationModel(kept, java.numFeatures(), java.numClasses())
+    return RandomForestClassificationModel(small)
+
+
 def tune_grid_cv(
     features: DataFrame, trees=(50, 100, 150), depths=(5, 10, 15), min_rows=(1, 5, 10), folds: int = 3, seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int = 8,
 ) -> DataFrame:
-    """Mean AUC of every grid point over the folds, best first, with the best one's AUC on the held-out rows."""
+    """Mean AUC of every grid point over the folds, best first, with the best one's AUC on the held-out rows.
+
+    Per fold the features are prepared once and written; per depth and row limit one forest of the most trees is grown, whose
+    first trees are the smaller forests. Folds are key hashes, so a retry deals rows out alike.
+    """
     keys = ["transaction_uuid"]
     table = training_table(features, keys, FRAUD_NUMBERS, FRAUD_CODES, "label")
     train, test = split(table, keys, seed)
-    pipeline = _fraud_pipeline(10, 5, seed)
-    forest = pipeline.getStages()[-1]
-    grid = (
-        ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths))
-        .addGrid(forest.minInstancesPerNode, list(min_rows)).build()
-    )
+    stages = _fraud_pipeline(max(trees), 5, seed).getStages()
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    fitted = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed, parallelism=parallelism
-    ).fit(train)
-    best = max(range(len(grid)), key=lambda i: fitted.avgMetrics[i])
-    held_out = judge.evaluate(fitted.bestModel.transform(test))
-    rows = [
-        (p[forest.numTrees], p[forest.maxDepth], p[forest.minInstancesPerNode], float(m), held_out if i == best else None)
-        for i, (p, m) in enumerate(zip(grid, fitted.avgMetrics))
-    ]
+
+    def prepared(fit_on: DataFrame, rows: DataFrame) -> DataFrame:
+        # not dealt out further: each task of a pass holds the bins of every open node, so forests side by side beat tasks side by side
+        return cut_lineage(Pipeline(stages=stages[:-1]).fit(fit_on).transform(rows).select("label", "features", "held"), "fold")
+
+    def forest(rows: DataFrame, depth: int, least: int, count: int) -> RandomForestClassificationModel:
+        return RandomForestClassifier(numTrees=count, maxDepth=depth, minInstancesPerNode=least, seed=seed).fit(rows.where("not held"))
+
+    fold = F.pmod(F.xxhash64(F.lit(seed + 1), *keys), F.lit(folds))
+    ready = [prepared(train.where(fold != k), train.withColumn("held", fold == k)) for k in range(folds)]
+
+    def judged(job: tuple[int, int, int]) -> dict[tuple[int, int, int], float]:
+        k, depth, least = job
+        grown = forest(ready[k], depth, least, max(trees))
+        held = ready[k].where("held")
+        return {(n, depth, least): judge.evaluate((grown if n == max(trees) else _first_trees(grown, n)).transform(held)) for n in trees}
+
+    jobs = [(k, d, m) for d in sorted(depths, reverse=True) for m in min_rows for k in range(folds)]  # the dear ones first
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(inheritable_thread_target(features.sparkSession)(judged), jobs))
+    points = sorted({p for part in parts for p in part})
+    mean = {p: sum(part[p] for part in parts if p in part) / folds for p in points}
+    count, depth, least = max(points, key=lambda p: mean[p])
+    whole = prepared(train, train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True))))
+    held_out = judge.evaluate(forest(whole, depth, least, count).transform(whole.where("held")))
+    rows = [(*p, float(mean[p]), float(held_out) if p == (count, depth, least) else None) for p in points]
     rows.sort(key=lambda r: -r[3])
     return features.sparkSession.createDataFrame(
         rows, "num_trees int, max_depth int, min_instances int, mean_auc double, test_auc double"
