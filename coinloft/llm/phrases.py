@@ -28,7 +28,7 @@ HELD_IN = 80  # per cent of its occurrences within one longer candidate that dro
 SCALE = 2_000_000
 TOP = 2000  # phrases reported per language
 FILTER_BITS = 1 << 26  # 8 MB, whatever the input; a fuller filter lets more windows through and changes no result
-CHUNK = 1 << 22  # bytes of text per array pass
+CHUNK = 1 << 20  # bytes of text per array pass
 _U = np.uint64
 
 _KIND = np.zeros(256, np.uint8)  # 0 in a word, 1 between words, 2 between pieces
@@ -174,9 +174,9 @@ def _windows(shared):
                 lead = np.zeros((ORDER, count), np.int64)  # 0: padding
                 lead[0] = np.where(_held(filter_, own), w.code + 1, 0)
                 whole = go_on & (lead[0] > 0)
-                for k in range(1, ORDER):
+                for k in range(1, min(ORDER, count)):
                     lead[k, : count - k] = np.where(whole[: count - k], w.code[k:] + 1, 0)
-                    whole[: count - k] &= go_on[k:] if k < count else whole[: count - k]
+                    whole[: count - k] &= go_on[k:]
                 mine = w.start < until
                 lead, lang = lead[:, mine], tag[first:][w.row[mine]]
                 code = _codes(lang, lead[0], width)
