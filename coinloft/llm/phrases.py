@@ -3,10 +3,10 @@
 Every word starts one window of four lead columns, padded where its piece of text ends. Only these windows are counted; the
 occurrences of every shorter phrase are sums over the windows that begin with it, which Spark's ROLLUP forms.
 
-Counts of phrases under the threshold are never needed: a candidate's parts and every phrase that holds it occur at least
-as often as it does. So a first pass counts hashed words and word pairs exactly, and a filter of fixed size takes the
-frequent ones. A window is padded from its first rare pair on. The filter and hash collisions err to one
-side only: what they let through is counted like anything else, so results do not depend on them.
+Counts of phrases under the threshold are never needed, as a candidate's parts occur at least as often as it does. So the
+windows are sieved first: one pass counts hashed words and pairs exactly, a second one hashed triples of frequent pairs, and
+a filter of fixed size takes the frequent ones. A window is padded from its first rare pair or triple on. The filter and
+hash collisions err to one side only: what they let through is counted like anything else, so results do not depend on them.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ LEAST = 30  # occurrences of a candidate
 HELD_IN = 80  # per cent of its occurrences within one longer candidate that drop a phrase
 SCALE = 2_000_000
 TOP = 2000  # phrases reported per language
+SECOND = 22  # where the second bit number of a 48-bit key begins
 FILTER_BITS = 1 << 26  # 8 MB, whatever the input; a fuller filter lets more windows through and changes no result
 CHUNK = 1 << 20  # bytes of text per array pass
 _U = np.uint64
@@ -106,40 +107,53 @@ def _lang_hashes(langs: list[str]) -> np.ndarray:
     return np.array([int.from_bytes(l.encode()[:256].ljust(8, b"\0")[:8], "little") ^ (len(l) << 48) for l in langs], _U)
 
 
-def _keys(w: _Words, lang: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and of every word with the next one (0 where none follows), the language mixed in."""
+def _keys(w: _Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """48-bit hashes of every word, with the next one, and with the next two (0 where none follows), the language mixed in."""
+    step = _U(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        own = X.mix(hashes[w.code] + lang[w.row])
-        pair = np.zeros(len(own), _U)
+        own = X.mix(w.hashes()[w.code] + lang[w.row])
+        pair, triple = np.zeros(len(own), _U), np.zeros(len(own), _U)
         at = np.flatnonzero(w.follows)
-        pair[at] = X.mix(own[at] * _U(0x9E3779B97F4A7C15) + own[at + 1])
-    return own, pair
+        pair[at] = X.mix(own[at] * step + own[at + 1])
+        at = at[w.follows[at + 1]]
+        triple[at] = X.mix(pair[at] * step + own[at + 2])
+    return own >> _U(16), pair >> _U(16), triple >> _U(16)
 
 
-def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashed words and pairs of a pass, each with its count."""
-    for batch in batches:
-        lang = _lang_hashes(batch.column("lang").to_pylist())
-        for first, data, offsets, until in _passes(batch.column("text")):
-            w = _Words(data, offsets)
-            if not len(w.code):
-                continue
-            own, pair = _keys(w, lang[first:], w.hashes())
-            mine = w.start < until
-            key, n = np.unique(np.concatenate([own[mine], pair[mine & w.follows]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+def _go_on(w: _Words, pair: np.ndarray, filter_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words that begin a pair the filter holds, and those whose next word does too."""
+    one = w.follows & _held(filter_, pair)
+    return one, one & np.append(one[1:], False)
+
+
+def _key_counts(shared=None):
+    """Hashed words and pairs of a pass, each with its count; with a filter, the triples whose two pairs it holds instead."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = _lang_hashes(batch.column("lang").to_pylist())
+            for first, data, offsets, until in _passes(batch.column("text")):
+                w = _Words(data, offsets)
+                if not len(w.code):
+                    continue
+                own, pair, triple = _keys(w, lang[first:])
+                mine = w.start < until
+                found = np.concatenate([own[mine], pair[mine & w.follows]]) if shared is None else triple[mine & _go_on(w, pair, shared.value)[1]]
+                key, n = np.unique(found, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    return run
 
 
 def _bits(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (key & _U(FILTER_BITS - 1)).astype(np.int64), ((key >> _U(32)) & _U(FILTER_BITS - 1)).astype(np.int64)
+    return (key & _U(FILTER_BITS - 1)).astype(np.int64), ((key >> _U(SECOND)) & _U(FILTER_BITS - 1)).astype(np.int64)
 
 
-def frequent_filter(docs: DataFrame, least: int) -> np.ndarray:
-    """Bytes of a filter of FILTER_BITS bits that holds every word and pair, hashed with its language, of ``least`` or more occurrences."""
-    keys = docs.mapInArrow(_key_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    bit = F.explode(F.array(F.col("key").bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned("key", 32).bitwiseAND(FILTER_BITS - 1)))
-    bits = keys.select(bit.alias("bit"))
-    bits = bits.select((F.col("bit") + 1).alias("bit"))  # bucket b holds the numbers (b - 1) * 32768 + 1 to b * 32768
+def _filled(keys: DataFrame, least: int) -> np.ndarray:
+    """Bytes of a filter of FILTER_BITS bits that holds every key whose counts add up to ``least`` or more."""
+    keys = keys.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    bit = F.explode(F.array(F.col("key").bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned("key", SECOND).bitwiseAND(FILTER_BITS - 1)))
+    bits = keys.select(bit.alias("bit")).select((F.col("bit") + 1).alias("bit"))  # bucket b holds the numbers (b - 1) * 32768 + 1 to b * 32768
     blocks = bits.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in blocks.collect():  # at most FILTER_BITS / 32768 rows of 4 KB
@@ -148,6 +162,13 @@ def frequent_filter(docs: DataFrame, least: int) -> np.ndarray:
     return out
 
 
+def frequent_filter(docs: DataFrame, least: int) -> np.ndarray:
+    """A filter that holds every word, pair and triple, hashed with its language, of ``least`` or more occurrences."""
+    counts = lambda shared=None: docs.mapInArrow(_key_counts(shared), "key long, n long")
+    held = _filled(counts(), least)
+    return held | _filled(counts(docs.sparkSession.sparkContext.broadcast(held)), least)
+
+
 def _held(filter_: np.ndarray, key: np.ndarray) -> np.ndarray:
     a, b = _bits(key)
     return ((filter_[a >> 3] >> (a & 7).astype(np.uint8)) & (filter_[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
@@ -168,15 +189,16 @@ def _windows(shared):
                 w = _Words(data, offsets)
                 if not len(w.code):
                     continue
-                own, pair = _keys(w, hashed[first:], w.hashes())
+                own, pair, triple = _keys(w, hashed[first:])
                 count, width = len(own), len(w.names) + 1
-                go_on = w.follows & _held(filter_, pair)
+                one, two = _go_on(w, pair, filter_)
+                two &= _held(filter_, triple)
                 lead = np.zeros((ORDER, count), np.int64)  # 0: padding
                 lead[0] = np.where(_held(filter_, own), w.code + 1, 0)
-                whole = go_on & (lead[0] > 0)
+                whole = lead[0] > 0
                 for k in range(1, min(ORDER, count)):
+                    whole[: count - k] &= one[: count - k] if k == 1 else two[k - 2 : count - 2]
                     lead[k, : count - k] = np.where(whole[: count - k], w.code[k:] + 1, 0)
-                    whole[: count - k] &= go_on[k:]
                 mine = w.start < until
                 lead, lang = lead[:, mine], tag[first:][w.row[mine]]
                 code = _codes(lang, lead[0], width)
