@@ -208,6 +208,27 @@ def test_streams_lose_no_row_in_several_batches(spark):
     assert spark.read.parquet(days).agg({"transaction_count": "sum"}).first()[0] == silver.count()
 
 
+def test_daily_totals_come_from_state_and_late_days_are_rebuilt(spark):
+    """Three runs over months in order, then a file of old days: only those are rebuilt, and totals stay those of all rows."""
+    lake, path, schema, silver = _dealt(spark, 1)
+    rows = spark.read.schema(schema).parquet(path).withColumn("h", F.pmod(F.xxhash64("transaction_id"), F.lit(20)))
+    cuts = [r[0] for r in rows.selectExpr("explode(percentile_approx(transaction_date, array(0.3, 0.6, 1.0)))").collect()]
+    source, silver_at, days, checkpoint = (work_folder(spark, n) for n in ("arriving", "silver", "days", "checkpoint"))
+    held = rows.where((F.col("transaction_date") <= cuts[0]) & (F.col("h") == 0))
+    early = [rows.where((F.col("h") > 0) | (F.col("transaction_date") > cuts[0])).where(F.col("transaction_date") <= cuts[0])]
+    early += [rows.where((F.col("transaction_date") > lo) & (F.col("transaction_date") <= hi)) for lo, hi in zip(cuts, cuts[1:])]
+    rebuilt = []
+    for part in [*early, held, held.limit(0)]:
+        part.drop("h").coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, schema)
+        rebuilt.append(jobs.stream_daily_fact(stream, lake.as_of, lake.run_ts, silver_at, days, checkpoint))
+    assert rebuilt[:3] == [0, 0, 0] and rebuilt[4] == 0
+    assert rebuilt[3] == held.select(F.to_date("transaction_date")).distinct().count() > 0
+    key = lambda df: sorted(map(tuple, df.select("transaction_date", "transaction_type", "status", "transaction_count", "total_amount").collect()), key=repr)
+    assert key(spark.read.parquet(days)) == key(jobs.daily_totals(jobs.landed(spark, silver_at)))
+    assert jobs.landed(spark, silver_at).count() == silver.count()
+
+
 def test_a_new_checkpoint_keeps_stored_rows(spark):
     lake, path, schema, silver = _dealt(spark, 2)
     files = sorted(r[0] for r in spark.read.parquet(path).selectExpr("_metadata.file_path").distinct().collect())
