@@ -156,7 +156,10 @@ def _grouped(docs: DataFrame, similarity: float) -> DataFrame:
     # a row without a doc_id stands behind all others; equal ids are told apart by their prints
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "p1", "p2")
     classes = worded.groupBy("k1", "k2").agg(F.min(row).alias("first"), F.min("bands").alias("bands"))
-    classes = cut_lineage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    # ids ascend with the least row: a bucket's least node is then its earliest document, which most of a group's buckets share
+    by = [F.col("first.none"), F.col("first.doc_id"), F.col("first.p1"), F.col("first.p2")]
+    ranged = cut_lineage(classes, "class-rows").repartitionByRange(*by).sortWithinPartitions(*by)
+    classes = cut_lineage(ranged.withColumn("id", F.monotonically_increasing_id()), "classes")
     member = classes.select("id", F.explode(F.array_distinct("bands")).alias("bucket"))
     bucket = member.groupBy("bucket").agg(F.min("id").alias("b"), F.count("*").alias("members")).where("members > 1")
     member = cut_lineage(member.join(bucket, "bucket"), "buckets")  # of shared buckets only
