@@ -1,6 +1,7 @@
 """Operators on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import collections
+import fractions
 import hashlib
 import itertools
 import re
@@ -322,6 +323,58 @@ def test_overfull_ranges_are_divided(spark):
     assert len(out) == 10 and max(r.b for r in out) - min(r.b for r in out) <= 50
 
 
+def test_groups_of_equal_texts_stay_whole(spark):
+    """200 groups of 20 equal texts, a fifth of a shard each, one group above a shard, single texts: only that one is cut."""
+    groups = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 200).cast("string"), F.lit(" of a group")).alias("text"))
+    hot = spark.range(4000, 4600).select(F.col("id").alias("doc_id"), F.lit("one text that fills more than a shard").alias("text"))
+    single = spark.range(5000, 5300).select(F.col("id").alias("doc_id"), F.concat(F.lit("alone "), "id").alias("text"))
+    for docs, whole in ((groups, 200), (groups.union(hot).union(single), 500)):
+        out = sharding.assign(docs, 40).select("text", "size", "shard", "slot").collect()
+        shards, load, slots = collections.defaultdict(set), collections.Counter(), collections.defaultdict(list)
+        for r in out:
+            shards[r.text].add(r.shard)
+            load[r.shard] += r.size
+            slots[r.shard].append(r.slot)
+        assert len(out) == docs.count() and sum(len(v) == 1 for v in shards.values()) == whole
+        assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+        assert max(load.values()) - min(load.values()) <= max(sum(r.size for r in out) / 40 / 5, 2 * 20 * 40)
+
+
+def test_each_row_gets_the_shard_of_a_plain_loop(spark):
+    """Groups of many sizes: the same placement by a loop over sorted groups, rows and shards."""
+    rows = [(i, "x" * (i % 7) + f" group {min(i % 50, i % 31)}", "s") for i in range(1500)] + [(None, None, "s")] * 3 + [(9000, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shards in (1, 3, 40):
+        got = collections.defaultdict(set)
+        for r in sharding.assign(docs, shards).collect():
+            got[r.text].add(r.shard)
+        keyed = [tuple(r) for r in sharding.sized(docs).select("key_c", "key_t", "key_d", "size", "text").collect()]
+        total, ranges = sum(r[3] for r in keyed), shards * sharding.PER_SHARD
+        size = collections.Counter()
+        for c, t, _, n, _ in keyed:
+            size[c, t] += n
+        load, whole, cut = [0] * shards, {}, set()
+        for g in sorted((g for g in size if size[g] * ranges * sharding.PER_RANGE > total), key=lambda g: (-size[g], g)):
+            i = min(range(shards), key=lambda i: (load[i], i))
+            if size[g] * shards > total:
+                cut.add(g)
+            else:
+                whole[g], load[i] = i, load[i] + size[g]
+        level = next(fractions.Fraction(total - sum(load) + sum(low), len(low)) for n in range(shards, 0, -1)
+                     if (low := sorted(load)[:n]) and (n == 1 or total - sum(load) + sum(low) > n * low[-1]))
+        ends = list(itertools.accumulate(max(fractions.Fraction(0), level - x) for x in load))[:-1]
+        want, at = collections.defaultdict(set), 0
+        for g in sorted(size):
+            members = sorted(r for r in keyed if r[:2] == g)
+            if g in whole:
+                want[members[0][4]].add(whole[g])
+                continue
+            for n in [r[3] for r in members] if g in cut else [size[g]]:
+                want[members[0][4]].add(sum(2 * e <= 2 * at + n for e in ends))
+                at += n
+        assert got == want
+
+
 # --- neighbours -----------------------------------------------------------------------------
 
 
