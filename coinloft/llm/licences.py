@@ -34,19 +34,59 @@ class Licence:
         return next(i for i in range(len(self.words)) if self.words[i : i + n] == self.phrase)
 
 
-# fixed values: published licence names and sentences
+def _whole(label: str, text: str, base: bool = False) -> Licence:
+    """A short name that counts only word for word."""
+    return Licence(label, text, text, base)
+
+
+def _published(label: str, name: str, version: str) -> Licence:
+    """The usual notice of a licence that a foundation publishes in versions; the version is part of the mandatory phrase."""
+    key = f"{name} as published by the free software foundation either version {version} of the license"
+    return Licence(label, f"under the terms of the {key} or at your option any later version", key)
+
+
+# fixed values: published licence names, notices and sentences
+GNU = "gnu general public license"
+LESSER = "gnu lesser general public license"
+AFFERO = "gnu affero general public license"
 LICENCES = (
-    Licence("mit", "under the mit license", "under the mit license", True),
-    Licence("apache-2", "apache license version 2", "apache license version 2", True),
-    Licence("cc-by-nc", "cc by nc", "cc by nc", True),
+    _whole("mit", "under the mit license", True),
+    _whole("apache-2", "apache license version 2", True),
+    _whole("cc-by-nc", "cc by nc", True),
+    Licence("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+            "with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by "
+            "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+            "without warranties or conditions of any kind either express or implied", "apache license version 2 0 the license"),
     Licence("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
             "redistribution and use in source and binary forms"),
-    Licence("cc-by-sa", "cc by sa", "cc by sa"),
-    Licence("gpl-3", "gnu general public license version 3", "gnu general public license"),
-    Licence("lgpl-3", "gnu lesser general public license version 3", "lesser general public license"),
-    Licence("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software",
+    Licence("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission", "may be used to endorse or promote products derived from this software"),
+    _whole("cc-by-sa", "cc by sa"),
+    _whole("cc-by-nc-sa", "cc by nc sa"),
+    _whole("cc-by-nc-nd", "cc by nc nd"),
+    _whole("epl-1", "eclipse public license v 1 0"),
+    _whole("epl-2", "eclipse public license v 2 0"),
+    _whole("gpl-2", f"{GNU} version 2"),
+    _whole("gpl-3", f"{GNU} version 3"),
+    _whole("lgpl-2.1", f"{LESSER} version 2 1"),
+    _whole("lgpl-3", f"{LESSER} version 3"),
+    _whole("agpl-3", f"{AFFERO} version 3"),
+    _published("gpl-2", GNU, "2"),
+    _published("gpl-3", GNU, "3"),
+    _published("lgpl-2.1", LESSER, "2 1"),
+    _published("lgpl-3", LESSER, "3"),
+    _published("agpl-3", AFFERO, "3"),
+    Licence("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+            "provided that the above copyright notice and this permission notice appear in all copies",
+            "for any purpose with or without fee is hereby granted"),
+    Licence("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation the rights "
+            "to use copy modify merge publish distribute sublicense and or sell copies of the software",
             "permission is hereby granted free of charge"),
-    Licence("mpl-2", "mozilla public license version 2 0", "mozilla public license"),
+    _whole("mpl-1.1", "mozilla public license version 1 1"),
+    _whole("mpl-2", "mozilla public license version 2 0"),
+    Licence("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+            "distributed with this file you can obtain one at", "subject to the terms of the mozilla public license v 2 0"),
     Licence("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
 

@@ -1,6 +1,7 @@
 """Kernels against plain Python."""
 
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,17 @@ def test_entropy_by_counts_equals_entropy_afresh(candidate):
     assert got == marked
 
 
+def test_entropy_spans_of_a_long_run_need_little_memory():
+    rng = np.random.default_rng(3)
+    run = bytes(np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)[rng.integers(0, 64, 200_000)])
+    tracemalloc.start()
+    spans = secrets.entropy_spans(run)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(e - b for b, e in spans) > 0.9 * len(run) and all(x[1] < y[0] for x, y in zip(spans, spans[1:], strict=False))
+    assert peak < 12 * len(run)
+
+
 def test_random_tokens_of_usual_alphabets_get_a_span():
     rng = np.random.default_rng(17)
     low, up, digits = b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
