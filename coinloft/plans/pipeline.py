@@ -8,14 +8,14 @@ files' footers, not from running the transformation twice.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history, profile, tables
 from ..session import tune
-from . import gold, silver
+from . import gates, gold, silver
 from .lake import load_bronze
 from .load_checks import quality_specs
 
@@ -29,9 +29,13 @@ GOLD_TABLES = [
 class Pipeline:
     calendar = (dt.date(2020, 1, 1), dt.date(2027, 12, 31))  # first and last day of dim_date
 
-    def __init__(self, spark: SparkSession, root: str, as_of: dt.date, run_ts: dt.datetime):
+    def __init__(
+        self, spark: SparkSession, root: str, as_of: dt.date, run_ts: dt.datetime, limits: Mapping = gates.LIMITS, environment: str = "default",
+    ):
+        """``limits`` and ``environment`` are those of the quality gate (``rules.THRESHOLDS``)."""
         self.spark = tune(spark)
         self.root, self.as_of, self.run_ts = root.rstrip("/"), as_of, run_ts
+        self.gates = gates.Gates(self.spark, f"{self.root}/gates", run_ts, limits, environment)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -49,10 +53,29 @@ class Pipeline:
         else:
             tables.write_full_refresh(df, self.path(layer, name))
 
-    def bronze(self, stage: Callable[[str], DataFrame], names: Iterable[str] = tuple(silver.KEYS)) -> None:
+    def bronze(self, stage: Callable[[str], DataFrame], names: Iterable[str] = tuple(silver.KEYS)) -> dict[str, int | None]:
+        """Store the sources; returns the rows of each that passed while they were written."""
+        passed = {}
         for name in names:
             parts = silver.PARTITIONS["transactions"] if name == "transactions" else []
-            self._store("bronze", name, load_bronze(stage(name), name, self.run_ts), parts)
+            rows, count = gates.counted(load_bronze(stage(name), name, self.run_ts), name)
+            self._store("bronze", name, rows, parts)
+            passed[name] = count()
+        return passed
+
+    def _loaded(self, name: str) -> DataFrame:
+        """This run's rows of a bronze table; months of earlier transactions may lie beside them."""
+        rows = self.read("bronze", name)
+        return rows.where(F.col("load_timestamp") == F.lit(self.run_ts)) if name == "transactions" else rows
+
+    def _through_silver(self, stage: Callable[[str], DataFrame], names: Iterable[str], dedup: bool = False) -> None:
+        """Bronze and silver of ``names`` with the gates before, between and after; a failed one raises ``GateFailed``."""
+        names = list(names)
+        self.gates.preflight(stage, [n for n in gates.REQUIRED if n in names])
+        self.gates.bronze(self.bronze(stage, names), {n: self._loaded(n) for n in names}, stage)
+        self.silver(names, dedup=dedup)
+        self.gates.silver({n: self.read("bronze", n) for n in names}, {n: self.read("silver", n) for n in names})
+        self.gates.clients(self.read("silver", "clients"))
 
     def silver(self, names: Iterable[str] = tuple(silver.KEYS), dedup: bool = False) -> None:
         for name in names:
@@ -88,7 +111,8 @@ class Pipeline:
                 gold.PARTITIONS["fact_transactions_daily"])
 
     def run(self, stage: Callable[[str], DataFrame], dedup: bool = False, mode: str = "full") -> DataFrame:
-        """All layers, then the row count of every stored table.
+        """All layers, then the row count of every stored table. Gates stand between the layers (``gates.Gates``): gold is
+        built only from sources that arrived whole and clients within the limits; a failed gate raises ``GateFailed``.
 
         ``mode="incremental"`` needs the tables of an earlier run with ``dedup=False`` and a later ``run_ts``. The stage's transactions
         are then only the new ones, of any date; the other tables come whole. Facts of months without new
@@ -97,17 +121,16 @@ class Pipeline:
         if mode not in ("full", "incremental"):
             raise ValueError(f"mode {mode!r} is neither 'full' nor 'incremental'")
         if mode == "full":
-            self.bronze(stage)
-            self.silver(dedup=dedup)
+            self._through_silver(stage, silver.KEYS, dedup)
             self.gold()
         elif dedup:
             raise ValueError("a repeated key may lie in any month: deduplicated tables need a full run")
         else:
             others = [name for name in silver.KEYS if name != "transactions"]
-            self.bronze(stage, others)
-            self.silver(others)
+            self._through_silver(stage, others)
             self._add_transactions(stage("transactions"))
             self.gold([name for name in GOLD_TABLES if name != "fact_transactions_daily"])
+        self.gates.gold(self.read("gold", "fact_transactions_daily"), self.read("silver", "transactions"))
         stored = {f"{layer}.{n}": self.read(layer, n) for layer, names in (
             ("bronze", silver.KEYS), ("silver", silver.KEYS), ("gold", GOLD_TABLES)) for n in names}
         return tables.union_all_report(stored)
