@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -78,6 +81,31 @@ def compact_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
         conf.set(key, before) if before else conf.unset(key)
 
 
+def compact_in_place(spark: SparkSession, path: str, partition_cols: Sequence[str], target_mb: float = 256) -> int:
+    """Rewrite only the partitions that would have at most half as many files of the target size; returns how many.
+
+    Files are packed into bins of about the target size, in order of name, by the sizes that the listing gives: a file
+    larger than that is a bin of its own. Partitions not concerned are neither read nor written, and their files keep
+    their names. Until the write is committed the old files stand, so a run that breaks off changes nothing.
+    """
+    target = int(target_mb * (1 << 20))
+    cols, file = list(partition_cols), F.col("_metadata.file_path").alias("compact_file")
+    # a listing: no file's content is read
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(*cols, file, F.col("_metadata.file_size").alias("compact_size"))
+    before = F.sum("compact_size").over(W.partitionBy(*cols).orderBy("compact_file").rowsBetween(W.unboundedPreceding, -1))
+    bins = listed.withColumn("compact_bin", F.floor(F.coalesce(before, F.lit(0)) / F.lit(target)))
+    worth = bins.groupBy(*cols).agg(F.count("*").alias("files"), F.count_distinct("compact_bin").alias("bins")).where("files >= 2 * bins").select(*cols)
+    worth = worth.collect()  # partitions, not rows
+    if not worth:
+        return 0
+    rows = spark.read.parquet(path)
+    touched = reduce(or_, [reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in cols]) for r in worth])
+    packed = rows.where(touched).select("*", file).join(bins.select("compact_file", "compact_bin"), "compact_file")
+    packed = packed.repartition(*cols, "compact_bin").select(*rows.columns)
+    packed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+    return len(worth)
+
+
 def collect_statistics(df: DataFrame, exact: bool = False) -> DataFrame:
     """Row count, NULLs, distinct values and extremes per column.
 

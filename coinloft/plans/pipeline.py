@@ -110,6 +110,15 @@ class Pipeline:
                 self.read("silver", "transactions"), self.path("gold", "fact_transactions_daily"), fact, before, months,
                 gold.PARTITIONS["fact_transactions_daily"])
 
+    def compact(self, target_mb: float = 256) -> dict[str, int]:
+        """Pack the small files of all partitioned tables; the number of partitions rewritten per table."""
+        parts = {("bronze", "transactions"): silver.PARTITIONS["transactions"]}
+        parts |= {(layer, n): cols for layer, each in (("silver", silver.PARTITIONS), ("gold", gold.PARTITIONS)) for n, cols in each.items()}
+        return {
+            f"{layer}.{n}": tables.compact_in_place(self.spark, self.path(layer, n), cols, target_mb)
+            for (layer, n), cols in parts.items() if cols and tables.exists(self.spark, self.path(layer, n))
+        }
+
     def run(self, stage: Callable[[str], DataFrame], dedup: bool = False, mode: str = "full") -> DataFrame:
         """All layers, then the row count of every stored table. Gates stand between the layers (``gates.Gates``): gold is
         built only from sources that arrived whole and clients within the limits; a failed gate raises ``GateFailed``.

@@ -65,6 +65,30 @@ def _gate_rows(spark, root):
     return {(r.gate, r.table_name): r.status for r in spark.read.parquet(f"{root}/gates").collect()}
 
 
+def test_compaction_rewrites_only_partitions_with_small_files(spark):
+    """One file per partition after packing, bins by size, and the files of other partitions keep their names."""
+    path = work_folder(spark, "small")
+    rows = spark.range(4000).selectExpr("id", "sha2(cast(id as string), 256) AS t", "cast(id % 4 AS int) AS m", "if(id % 4 = 3, null, 'a b') AS k")
+    for n in range(6):  # six files in m = 0 and m = 3 (whose k is null), one each in the others
+        rows.where(f"m IN (0, 3) AND pmod(id, 24) DIV 4 = {n}").coalesce(1).write.mode("append").partitionBy("m", "k").parquet(path)
+    rows.where("m IN (1, 2)").coalesce(1).write.mode("append").partitionBy("m", "k").parquet(path)
+
+    def files():
+        found = spark.read.parquet(path).groupBy("m").agg(F.collect_set("_metadata.file_path").alias("f"))
+        return {r.m: set(r.f) for r in found.collect()}
+
+    before, size = files(), spark.read.parquet(path).where("m = 0").agg(F.max("_metadata.file_size")).first()[0]
+    assert [len(before[m]) for m in range(4)] == [6, 1, 1, 6]
+    assert tables.compact_in_place(spark, path, ["m", "k"], size / (1 << 20) / 2) == 0  # each file fills a bin
+    assert files() == before
+    assert tables.compact_in_place(spark, path, ["m", "k"], size * 2.5 / (1 << 20)) == 2
+    after = files()
+    assert after[1] == before[1] and after[2] == before[2] and len(after[0]) <= 3 and not after[0] & before[0]
+    assert tables.compact_in_place(spark, path, ["m", "k"]) in (0, 1, 2) and tables.compact_in_place(spark, path, ["m", "k"]) == 0
+    assert [len(files()[m]) for m in range(4)] == [1, 1, 1, 1]
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "t", "m", "k").collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_a_failed_gate_stops_before_gold(spark):
     """Poor clients, an empty source and rows lost on the way to bronze each end the run; the outcome is stored."""
     lake = Lake(spark, FOLDER)
