@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every job relies on. Broadcast joins are left to the
-# size-checked autoBroadcastJoinThreshold; no join here carries a broadcast hint.
+# size-checked autoBroadcastJoinThreshold; the banking part's joins carry no broadcast hint.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
