@@ -352,19 +352,21 @@ def dim_account(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
 # --- facts ----------------------------------------------------------------------
 
 
-def fact_transactions_daily(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
-    """Daily totals. Rows are reduced to the daily grain before the account join,
-    which also spreads the rows of a hot account over its days and codes."""
+DAILY_GRAIN = {
+    "transaction_date": "transaction_date_only", "account_id": "from_account_id",
+    "transaction_type": "transaction_type_normalized", "category": "category_normalized",
+    "currency": "currency", "year": "transaction_year", "month": "transaction_month",
+}
+DAILY_COUNTS = ["successful_count", "failed_count", "pending_count", "cancelled_count", "suspicious_transaction_count"]
+
+
+def daily_partials(transactions: DataFrame) -> DataFrame:
+    """Totals per day, account and codes that add up: partials of disjoint rows merge into those of all rows."""
     state = F.col("status_normalized")
-    grain = {
-        "transaction_date": "transaction_date_only", "account_id": "from_account_id",
-        "transaction_type": "transaction_type_normalized", "category": "category_normalized",
-        "currency": "currency", "year": "transaction_year", "month": "transaction_month",
-    }
-    daily = (
-        t["transactions"]
+    return (
+        transactions
         .where(F.col("transaction_date_only").isNotNull())
-        .groupBy(*[F.col(source).alias(name) for name, source in grain.items()])
+        .groupBy(*[F.col(source).alias(name) for name, source in DAILY_GRAIN.items()])
         .agg(
             F.count("*").alias("transaction_count"),
             F.sum("amount").alias("total_amount"),
@@ -378,22 +380,30 @@ def fact_transactions_daily(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> D
             F.count_if("is_suspicious").alias("suspicious_transaction_count"),
         )
     )
-    counts = ["successful_count", "failed_count", "pending_count", "cancelled_count", "suspicious_transaction_count"]
-    owners = t["accounts"].select("account_id", "client_id", "branch_code")
-    total = daily.join(owners, "account_id", "left").groupBy(*grain, "client_id", "branch_code").agg(
+
+
+def merge_partials(partials: DataFrame, *owner: str) -> DataFrame:
+    """One row per grain (and owner columns) from any number of partial rows."""
+    return partials.groupBy(*DAILY_GRAIN, *owner).agg(
         F.sum("transaction_count").alias("transaction_count"),
         F.sum("total_amount").alias("total_amount"),
         F.sum("amounts").alias("amounts"),
         F.min("min_amount").alias("min_amount"),
         F.max("max_amount").alias("max_amount"),
-        *[F.sum(c).alias(c) for c in counts],
+        *[F.sum(c).alias(c) for c in DAILY_COUNTS],
     )
+
+
+def fact_from_partials(partials: DataFrame, accounts: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """The daily fact from partial rows, several per grain or one."""
+    owners = accounts.select("account_id", "client_id", "branch_code")
+    total = merge_partials(partials.join(owners, "account_id", "left"), "client_id", "branch_code")
     out = total.select(
         "transaction_date", F.coalesce("client_id", F.lit(-1)).alias("client_id"), "account_id",
         F.coalesce("branch_code", F.lit("UNKNOWN")).alias("branch_code"), "transaction_type", "category", "currency",
         "transaction_count", _money(F.col("total_amount")).alias("total_amount"),
         _money(clean.exact_ratio("total_amount", "amounts")).alias("avg_amount"), "min_amount", "max_amount",
-        *counts[:4],
+        *DAILY_COUNTS[:4],
         clean.percent("successful_count", "transaction_count").cast("decimal(5,2)").alias("success_rate"),
         (F.col("suspicious_transaction_count") > 0).alias("has_suspicious_transactions"),
         "suspicious_transaction_count", "year", "month",
@@ -401,6 +411,12 @@ def fact_transactions_daily(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> D
     return _stamps(out, run_ts)
 
 
+def fact_transactions_daily(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
+    """Daily totals. Rows are reduced to the daily grain before the account join,
+    which also spreads the rows of a hot account over its days and codes."""
+    return fact_from_partials(daily_partials(t["transactions"]), t["accounts"], run_ts)
+
+
 def fact_account_balance_daily(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
     """Balance snapshots with their change over 1, 7 and 30 days (NULL without an earlier snapshot)."""
     snapshots = t["account_balances"].where(F.col("last_updated").isNotNull()).withColumn(

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -10,12 +11,14 @@ from checks.core import SPARK, SQL, Lake, runner, typed
 from coinloft.functions import clean
 from coinloft.learning import features, models
 from coinloft.operators import history, profile, tables
+from coinloft.plans import gold
 from coinloft.plans.gates import LIMITS, GateFailed
 from coinloft.plans.pipeline import Pipeline
 from coinloft.schemas import DDL
 from coinloft.session import work_folder
 from coinloft.sources.files import FileStage
 from coinloft.streaming import jobs
+from coinloft.streaming.partials import Partials
 
 FOLDER = "/root/testdata/sf0.001"
 checks.all_checks()
@@ -250,6 +253,17 @@ def test_hot_account_gives_whole_totals(spark):
     assert rows(got) == rows(want)
 
 
+def _few_months(spark, files):
+    """The newest transactions, in ``files`` files."""
+    lake = Lake(spark, FOLDER)
+    rows = lake.stage["transactions"].where("transaction_date is not null")
+    newest = rows.agg(F.max("transaction_date")).first()[0].replace(day=1) - dt.timedelta(days=40)
+    rows = rows.where(F.col("transaction_date") >= F.lit(newest))
+    path = work_folder(spark, "landing")
+    rows.repartition(files).write.parquet(path)
+    return lake, path, rows.schema, spark.read.schema(rows.schema).parquet(path)
+
+
 def _dealt(spark, files):
     """Transactions of the stage in ``files`` files whose dates overlap, and their silver rows."""
     lake = Lake(spark, FOLDER)
@@ -265,7 +279,7 @@ def test_streams_lose_no_row_in_several_batches(spark):
     folder = lambda n: work_folder(spark, n)
     out = folder("clean")
     jobs.stream_clean_dedup(stream(), lake.as_of, lake.run_ts, out, folder("checkpoint"))
-    expected = silver.where("transaction_uuid is not null").select("transaction_uuid", "transaction_year", "transaction_month").distinct().count()
+    expected = silver.where("transaction_uuid is not null").select("transaction_uuid").distinct().count()
     assert jobs.landed(spark, out).count() == expected + silver.where("transaction_uuid is null").count()
     days = folder("days")
     jobs.stream_daily_fact(stream(), lake.as_of, lake.run_ts, folder("silver"), days, folder("checkpoint"))
@@ -305,6 +319,69 @@ def test_a_new_checkpoint_keeps_stored_rows(spark):
     assert spark.read.parquet(fact).agg({"transaction_count": "sum"}).first()[0] == silver.count()
 
 
+def test_a_uuid_is_stored_once_whatever_date_it_comes_again_with(spark):
+    """Redelivered in the same batch, a later run and another stream, with dates moved back and forth over months."""
+    lake, path, schema, rows = _few_months(spark, 1)
+    source, out, checkpoint = (work_folder(spark, n) for n in ("arriving", "silver", "checkpoint"))
+    moved = lambda months: rows.withColumn("transaction_date", F.col("transaction_date") + F.expr(f"INTERVAL {months} MONTH"))
+    nameless = rows.limit(5).withColumn("transaction_uuid", F.lit(None).cast("string"))
+    run = lambda folder, at: jobs.stream_clean_dedup(jobs.file_stream(spark, folder, schema, max_files=2), lake.as_of, lake.run_ts, out, at)
+    for part in (rows.union(rows), moved(-14), moved(9).union(nameless), nameless):
+        part.coalesce(1).write.mode("append").parquet(source)
+        run(source, checkpoint)
+    other = work_folder(spark, "other")
+    fresh = rows.limit(3).withColumn("transaction_uuid", F.concat(F.lit("new-"), "transaction_uuid"))
+    moved(-30).union(fresh).coalesce(1).write.parquet(other)
+    run(other, work_folder(spark, "checkpoint"))
+    stored = jobs.landed(spark, out)
+    named = stored.where("transaction_uuid is not null")
+    uuids = rows.where("transaction_uuid is not null").select("transaction_uuid").distinct().count()
+    assert named.count() == named.select("transaction_uuid").distinct().count() == uuids + 3
+    assert stored.count() - named.count() == 10 + 2 * rows.where("transaction_uuid is null").count()
+    first = rows.withColumn("transaction_uuid", F.trim("transaction_uuid")).join(named.select("transaction_uuid", "transaction_date"), ["transaction_uuid", "transaction_date"], "left_semi")
+    assert first.select("transaction_uuid").distinct().count() == uuids  # the first that came stays
+
+
+def test_partial_totals_are_folded_and_a_repeated_batch_changes_nothing(spark):
+    """Five batches folded by twos, the last one run again, then another stream: always the fact of all rows, few folders."""
+    lake, path, schema, rows = _few_months(spark, 6)
+    files = sorted(r[0] for r in spark.read.parquet(path).selectExpr("_metadata.file_path").distinct().collect())
+    source, last, stored, fact, checkpoint = (work_folder(spark, n) for n in ("arriving", "last", "silver", "fact", "checkpoint"))
+    spark.read.schema(schema).parquet(*files[:5]).repartition(5).write.parquet(source)
+    spark.read.schema(schema).parquet(files[5]).write.parquet(last)
+    accounts = lake.silver["accounts"]
+
+    def run(folder, at):
+        stream = jobs.file_stream(spark, folder, schema, max_files=1)
+        jobs.stream_upsert_gold(stream, accounts, lake.as_of, lake.run_ts, stored, fact, at, fold_every=2)
+
+    def whole():
+        rows = jobs.landed(spark, stored)
+        return gold.fact_transactions_daily({"transactions": rows, "accounts": accounts}, lake.as_of, lake.run_ts)
+
+    def months(where, *names):
+        return spark.read.parquet(f"{fact}_partials/{where}").select(*names).distinct()
+
+    run(source, checkpoint)
+    assert _fact_rows(spark.read.schema(whole().schema).parquet(fact)) == _fact_rows(whole())
+    assert months("deltas", "batch_id").count() == 1  # batches 0, 1 and 2, 3 are folded and their folders gone
+    base = months("base", "fold", "year", "month")
+    assert base.count() == base.select("year", "month").distinct().count() > 0
+    for name in ("4", ".4.crc"):  # the last batch did not commit
+        Path(f"{checkpoint}/commits/{name}").unlink(missing_ok=True)
+    run(source, checkpoint)
+    assert _fact_rows(spark.read.schema(whole().schema).parquet(fact)) == _fact_rows(whole())
+    run(last, work_folder(spark, "checkpoint"))
+    assert jobs.landed(spark, stored).count() == rows.count()
+    assert _fact_rows(spark.read.schema(whole().schema).parquet(fact)) == _fact_rows(whole())
+    totals = gold.daily_partials(jobs.landed(spark, stored))
+    upgraded = work_folder(spark, "fact")  # partials that begin with rows stored before
+    store = Partials(spark, f"{upgraded}_partials", totals.schema, gold.merge_partials)
+    store.start(totals)
+    store.start(totals)
+    assert store.waiting() == 0 and spark.read.parquet(store.base).agg({"transaction_count": "sum"}).first()[0] == rows.count()
+
+
 def test_expired_partitions_of_a_catalog_table_are_dropped(spark):
     rows = spark.createDataFrame([(1, 2019, 5), (2, 2020, 1), (3, 2024, 2)], "id int, transaction_year int, transaction_month int")
     rows.write.mode("overwrite").partitionBy("transaction_year", "transaction_month").saveAsTable("retained")
