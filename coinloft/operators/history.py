@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import tables
 from .dedup import dedup_latest
@@ -47,6 +48,57 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: Seque
     return history.unionByName(rows)
 
 
+class VersionTable:
+    """A dimension's versions under ``path``: closed ones are appended run by run, the open ones are replaced by each run.
+
+    A run writes the folders ``run=<load time>/is_current=<flag>`` in one pass and counts once its row in ``runs`` is
+    there: one that broke off is done again, one that is repeated changes nothing. Only open versions are read and
+    joined; a closed one is never read again by a merge. The open folders of the last two runs are kept.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, tracked: Mapping[str, T.DataType], key_type: T.DataType):
+        self.spark, self.key, self.tracked = spark, key, list(tracked)
+        self.versions, self.runs = f"{path}/versions", f"{path}/runs"
+        fields = [(key, key_type), *tracked.items(), ("effective_date", T.DateType()), ("end_date", T.DateType()),
+                  ("run", T.LongType()), ("is_current", T.BooleanType())]
+        self.schema = T.StructType([T.StructField(n, t) for n, t in fields])
+
+    def _last(self) -> int | None:
+        if not tables.exists(self.spark, self.runs):
+            return None
+        return self.spark.read.schema("run long").parquet(self.runs).agg(F.max("run")).first()[0]
+
+    def _read(self, last: int) -> DataFrame:
+        rows = self.spark.read.schema(self.schema).parquet(self.versions)
+        done = self.spark.read.schema("run long").parquet(self.runs).select(F.col("run").alias("done"))  # a row per run
+        rows = rows.where((~F.col("is_current") & (F.col("run") <= last)) | (F.col("is_current") & (F.col("run") == last)))
+        return rows.join(done, F.col("run") == F.col("done"), "left_semi").drop("run")
+
+    def read(self) -> DataFrame:
+        """Every version, closed and open."""
+        last = self._last()
+        return self.spark.createDataFrame([], self.schema).drop("run") if last is None else self._read(last)
+
+    def merge(self, incoming: DataFrame, as_of: dt.date, run_ts: dt.datetime, first_day: str | None = None) -> None:
+        """Bring in a snapshot with one row per key. Versions open on ``as_of``; with ``first_day`` those of the very first run
+        open on that column's day, if it has one before. Keys missing from the snapshot stay open."""
+        run, last = int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000), self._last()
+        if last is not None and run <= last:
+            if run < last:
+                raise ValueError("a run with a later load time is stored already")
+            return
+        if last is None:
+            start = F.lit(as_of) if first_day is None else F.least(F.col(first_day), F.lit(as_of))
+            rows = incoming.select(self.key, *self.tracked, start.alias("effective_date"), F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_current"))
+        else:
+            rows = scd2_merge(self._read(last).where("is_current"), incoming, self.key, self.tracked, as_of)
+        tables.write_partition_overwrite(rows.withColumn("run", F.lit(run).cast("long")), self.versions, ["run", "is_current"])
+        self.spark.range(1).select(F.lit(run).cast("long").alias("run")).coalesce(1).write.mode("append").parquet(self.runs)
+        older = [r.run for r in self.spark.read.schema("run long").parquet(self.runs).distinct().collect() if r.run < (last or 0)]
+        for run in older:
+            tables.remove(self.spark, f"{self.versions}/run={run}/is_current=true")
+
+
 def cdc_apply(
     base: DataFrame, changes: DataFrame, key: str, order: Sequence[str], op: str = "op", delete: str = "D"
 ) -> DataFrame:

@@ -37,6 +37,12 @@ def exists(spark, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
     _write(df, path, "append", partition_cols, "static")
 

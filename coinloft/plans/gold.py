@@ -241,10 +241,28 @@ def branch_approvals(t: Frames) -> DataFrame:
 # --- dimensions ---------------------------------------------------------------
 
 
-def dim_client(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
+# what a client's versions hold: everything that does not change with the report day
+CLIENT_TRACKED = [
+    "first_name", "last_name", "full_name", "email", "email_domain", "phone", "birth_date", "registration_date", "address", "city",
+    "country", "risk_category", "credit_score", "credit_score_category", "employment_status", "annual_income", "income_category",
+]
+
+
+def dim_client(t: Frames, as_of: dt.date, run_ts: dt.datetime, versions: DataFrame | None = None) -> DataFrame:
+    """One row per client, or per version of a client where ``versions`` (id, ``CLIENT_TRACKED`` and the version's days) are given.
+
+    An open version's key is the client's id, a closed one's a hash of the client and its days. Age, tenure, segment and
+    the counts are those of the report day in every version.
+    """
+    if versions is None:
+        key, clients = F.col("client_id"), t["clients"].withColumns({
+            "effective_date": F.col("registration_date"), "end_date": _missing("date"), "is_current": F.lit(True)})
+    else:
+        clients = versions.withColumn("age", calendar.age_years("birth_date", as_of))
+        key = F.when(F.col("is_current"), F.col("client_id")).otherwise(F.xxhash64("client_id", "effective_date", "end_date"))
     accounts = client_accounts(t).select("client_id", "total_accounts", F.col("active_accounts").alias("total_active_accounts"))
     base = left_join_preagg(
-        t["clients"],
+        clients,
         "client_id",
         [
             (accounts, {"total_accounts": 0, "total_active_accounts": 0}),
@@ -255,7 +273,7 @@ def dim_client(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
         ],
     )
     out = base.select(
-        F.col("client_id").alias("client_key"), "client_id", "first_name", "last_name", "full_name", "email",
+        key.alias("client_key"), "client_id", "first_name", "last_name", "full_name", "email",
         "email_domain", "phone", "birth_date", "age", _age_group().alias("age_group"), "registration_date",
         calendar.tenure_days("registration_date", as_of).alias("customer_tenure_days"),
         calendar.tenure_years("registration_date", as_of).alias("customer_tenure_years"),
@@ -263,8 +281,7 @@ def dim_client(t: Frames, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
         "credit_score_category", "employment_status", "annual_income", "income_category",
         _segment().alias("client_segment"), _missing("decimal(12,2)").alias("client_lifetime_value"),
         "total_accounts", "total_active_accounts", "total_products", "total_contracts", "total_cards", "total_loans",
-        F.col("registration_date").alias("effective_date"), _missing("date").alias("end_date"),
-        F.lit(True).alias("is_current"),
+        "effective_date", "end_date", "is_current",
     )
     return _stamps(out, run_ts)
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import history, profile, tables
+from ..operators.dedup import dedup_latest
 from ..session import tune
 from . import gates, gold, silver
 from .lake import load_bronze
@@ -82,6 +83,14 @@ class Pipeline:
             df = silver.BUILDERS[name](self.read("bronze", name), self.as_of, self.run_ts, dedup=dedup)
             self._store("silver", name, df, silver.PARTITIONS.get(name, []))
 
+    def client_versions(self, clients: DataFrame) -> DataFrame:
+        """The clients' versions, this run's snapshot merged in; of rows that share an id the newest counts."""
+        tracked = {c: clients.schema[c].dataType for c in gold.CLIENT_TRACKED}
+        store = history.VersionTable(self.spark, self.path("history", "clients"), "client_id", tracked, clients.schema["client_id"].dataType)
+        newest = dedup_latest(clients.select("client_id", *tracked), ["client_id"], ["registration_date", *(c for c in tracked if c != "registration_date")])
+        store.merge(newest, self.as_of, self.run_ts, first_day="registration_date")
+        return store.read()
+
     def gold(self, names: Iterable[str] = tuple(GOLD_TABLES)) -> None:
         frames = {name: self.read("silver", name) for name in silver.KEYS}
         for name in names:
@@ -90,6 +99,8 @@ class Pipeline:
             elif name == "dim_date":
                 bounds = self.spark.range(1).select(*[F.lit(d).alias(n) for d, n in zip(self.calendar, ("first_day", "last_day"))])
                 df = gold.dim_date(gold.calendar_days(bounds))
+            elif name == "dim_client":
+                df = gold.dim_client(frames, self.as_of, self.run_ts, self.client_versions(frames["clients"]))
             else:
                 df = getattr(gold, name)(frames, self.as_of, self.run_ts)
             self._store("gold", name, df, gold.PARTITIONS.get(name, []))

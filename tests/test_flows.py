@@ -253,6 +253,50 @@ def test_hot_account_gives_whole_totals(spark):
     assert rows(got) == rows(want)
 
 
+def test_clients_keep_their_history(spark):
+    """Four runs: as delivered, some moved and one new, the same again, moved back; versions follow on each other without gaps."""
+    lake = Lake(spark, FOLDER)
+    root, day = work_folder(spark, "versions"), lake.as_of
+    base = lake.silver["clients"].where("client_id <= 40")
+    moved = base.withColumn("city", F.when(F.col("client_id") % 4 == 0, "MOVED").otherwise(F.col("city")))
+    moved = moved.withColumn("address", F.when(F.col("client_id") == 5, None).otherwise(F.col("address")))
+    back = moved.withColumn("city", F.when(F.col("client_id") == 8, "HOME").otherwise(F.col("city"))).where("client_id <> 3")
+
+    def run(n, clients):
+        pipeline = Pipeline(spark, root, day + dt.timedelta(days=n), lake.run_ts + dt.timedelta(days=n))
+        return [r.asDict() for r in pipeline.client_versions(clients).collect()]
+
+    n = base.count()
+    first = run(0, base.where("client_id <> 2"))
+    assert len(first) == n - 1 and all(r["is_current"] and r["effective_date"] == min(r["registration_date"] or day, day) for r in first)
+    second = run(1, moved.union(moved.where("client_id = 1")))  # a repeated row makes no version
+    changed = base.where("client_id % 4 = 0").count() + base.where("client_id = 5 and address is not null").count()
+    assert sum(r["is_current"] for r in second) == n and sum(not r["is_current"] for r in second) == changed
+    assert {r["effective_date"] for r in second if r["client_id"] == 2} == {day + dt.timedelta(days=1)}
+    key = lambda rows: sorted(map(str, (sorted(r.items()) for r in rows)))
+    assert key(run(1, base)) == key(second)  # a repeated run changes nothing
+    assert key(run(2, moved)) == key(second)
+    last = run(3, back)
+    by_client = {}
+    for r in sorted(last, key=lambda r: (r["client_id"], r["effective_date"])):
+        by_client.setdefault(r["client_id"], []).append(r)
+    assert [r["city"] for r in by_client[8]][1:] == ["MOVED", "HOME"] and len(by_client[8]) == 3 and len(by_client[3]) == 1
+    for rows in by_client.values():
+        assert [r["end_date"] for r in rows] == [r["effective_date"] for r in rows[1:]] + [None]
+        assert [r["is_current"] for r in rows] == [False] * (len(rows) - 1) + [True]
+    stored = spark.read.parquet(f"{root}/history/clients/versions").select("run", "is_current").distinct().collect()
+    assert len({r.run for r in stored if str(r.is_current) == "true"}) == 2
+    with pytest.raises(ValueError):
+        run(2, back)
+    versions = Pipeline(spark, root, day + dt.timedelta(days=3), lake.run_ts + dt.timedelta(days=3)).client_versions(back)
+    frames = {name: lake.silver[name] for name in DDL}
+    dim = gold.dim_client({**frames, "clients": back}, day, lake.run_ts, versions)
+    plain = gold.dim_client({**frames, "clients": moved.where("client_id = 3").union(back)}, day, lake.run_ts)
+    assert dim.count() == dim.select("client_key").distinct().count() == len(last)
+    days = ["effective_date"]
+    assert _fact_rows(dim.where("is_current").drop(*days)) == _fact_rows(plain.drop(*days))
+
+
 def _few_months(spark, files):
     """The newest transactions, in ``files`` files."""
     lake = Lake(spark, FOLDER)
