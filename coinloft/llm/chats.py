@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
-import os.path
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 Turn = tuple[str, str]
 Render = Callable[[list[Turn]], str]
 
-CONTEXT = 3  # turns before the one that is rendered, for a template that renders every turn by itself
 LOSS_ROLE = "assistant"
+KEPT_CHARS = 1000  # longest text whose marked turn is kept in memory
 # fixed values: marks of the template, and the characters every control string needs
 BEGIN, MIDDLE, END = "<|turn|>", "\n", "<|end|>\n"
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;"))
@@ -37,9 +37,16 @@ def _escape_role(role: str) -> str:
     return escape(role).replace("\n", "&#10;")
 
 
+def _marked(turn: Turn) -> str:
+    return f"{BEGIN}{_escape_role(turn[0])}{MIDDLE}{escape(turn[1])}{END}"
+
+
+_marked_short = functools.lru_cache(1 << 15)(_marked)  # the turns of a prefix come again with every longer one
+
+
 def template(turns: list[Turn]) -> str:
     """Each turn between marks; texts cannot hold a mark."""
-    return "".join(f"{BEGIN}{_escape_role(role)}{MIDDLE}{escape(text)}{END}" for role, text in turns)
+    return "".join([_marked_short(turn) if len(turn[1]) <= KEPT_CHARS else _marked(turn) for turn in turns])
 
 
 def read_back(piece: str) -> Turn:
@@ -51,7 +58,15 @@ def read_back(piece: str) -> Turn:
 
 
 def _common(a: str, b: str) -> int:
-    return len(os.path.commonprefix((a, b)))
+    """Length of the common prefix, by halving: long outputs are compared as blocks."""
+    same, most = 0, min(len(a), len(b))
+    while same < most:
+        half = (same + most + 1) // 2
+        if a[same:half] == b[same:half]:
+            same = half
+        else:
+            most = half - 1
+    return same
 
 
 def locate(render: Render, before: list[Turn], turn: Turn, base: str) -> tuple[str, int, int, bool]:
@@ -60,12 +75,18 @@ def locate(render: Render, before: list[Turn], turn: Turn, base: str) -> tuple[s
 
     Two renderings with one-letter texts tell what stands before and after any text; the template is only called.
     """
+    return _located(render, before, turn, base)[1:]
+
+
+def _located(render: Render, before: list[Turn], turn: Turn, base: str) -> tuple[str, str, int, int, bool]:
+    """The whole output before what ``locate`` gives."""
     out = render([*before, turn])
     kept = len(base) if out.startswith(base) else _common(out, base)
     x, y = render([*before, (turn[0], "x")]), render([*before, (turn[0], "y")])
-    lead = _common(x, y)
+    known = len(base) if x.startswith(base) and y.startswith(base) else 0
+    lead = known + _common(x[known:], y[known:])
     tail = _common(x[lead:][::-1], y[lead:][::-1])
-    return out[kept:], max(lead - kept, 0), max(len(out) - tail - kept, 0), kept < len(base)
+    return out, out[kept:], max(lead - kept, 0), max(len(out) - tail - kept, 0), kept < len(base)
 
 
 PIECES = "conv_id long, n long, role string, piece string, text_from int, text_to int, rewritten boolean"
@@ -80,13 +101,15 @@ def _formatter(render: Render, context: int | None):
                 if conv_id != conv:
                     conv, n, before, base = conv_id, 0, [], render([])
                 turn = (role or "", text or "")
-                piece, lo, hi, rewritten = locate(render, before, turn, base)
+                whole, piece, lo, hi, rewritten = _located(render, before, turn, base)
                 out.append((conv_id, n, turn[0], piece, lo, hi, rewritten))
                 n += 1
-                before = [*before, turn]
-                if context is not None:
-                    before = before[max(len(before) - context, 0) :]
-                base = render(before)
+                before.append(turn)
+                if context is None or len(before) <= context:
+                    base = whole
+                else:
+                    del before[: len(before) - context]
+                    base = render(before)
             columns = list(zip(*out, strict=True)) if out else [[]] * 7
             types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
@@ -103,14 +126,12 @@ def formatted(turns: DataFrame, render: Render = template, context: int | None =
     is in memory as a whole. Without a rewritten turn the pieces of a conversation, joined in order, are
     its output; text_from and text_to bound the turn's text in the piece, the loss mask of assistant turns.
 
-    ``context`` declares that a template renders every turn by itself: only so many earlier turns are then rendered, time is linear
-    and a partition is a stream that holds one turn and its context. That holds for ``template``; with
-    others it may give different pieces. Turns are ordered by turn, then role, then text, nulls first; repeated rows are
-    turns of their own. Null roles and texts read as empty, rows with a null conv_id form one conversation. Other
-    columns are not carried.
+    ``context`` is a caller's word that a template renders every turn by itself: only so many earlier turns are then rendered, time
+    is linear and a partition is a stream that holds one turn and its context; with a template of which that is not true, pieces may
+    differ. No template has it by default, the module's own neither. Turns are ordered by turn, then role, then text, nulls
+    first; repeated rows are turns of their own. Null roles and texts read as empty, rows with a null conv_id form one
+    conversation. Other columns are not carried.
     """
-    if context is None and render is template:
-        context = CONTEXT
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.mapInArrow(_formatter(render, context), PIECES)

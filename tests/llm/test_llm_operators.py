@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -499,6 +500,23 @@ def test_other_templates_see_all_earlier_turns(spark):
         assert [r.piece[r.text_from : r.text_to] for r in got] == [t for _, t in turns]
 
 
+def test_the_own_template_sees_every_prefix(spark, monkeypatch):
+    turns, seen = [("user" if i % 2 == 0 else "assistant", f"text {i}") for i in range(9)], []
+    own = chats.template
+    monkeypatch.setattr(chats, "template", lambda ts: seen.append(list(ts)) or own(ts))
+
+    class Rows:  # hands the formatter that the operator chooses to this process
+        def __getattr__(self, _):
+            return lambda *a: a if a and callable(a[0]) else self
+
+    run, _ = chats.formatted(Rows(), chats.template)
+    role, text = zip(*turns, strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 9), pa.array(role), pa.array(text)], ["conv_id", "role", "text"])
+    pieces = [p for b in run(iter([batch])) for p in b.column("piece").to_pylist()]
+    assert "".join(pieces) == own(turns)
+    assert all(turns[: i + 1] in seen for i in range(9))
+
+
 def test_leaks_equal_brute_force(spark):
     rng = np.random.default_rng(11)
     items = {i: [f"i{i}w{j}" for j in range(n)] for i, n in enumerate([14, 20, 40, 59, 3, 5, 60])}
