@@ -463,3 +463,17 @@ def test_ratios_keep_small_values(spark):
     small = spark.createDataFrame([(0.005,), (0.015,), (0.01,)], "x double")
     got = {r.column_name: r for r in profile.profile_columns(small, ["x"], []).collect()}["x"]
     assert (float(got.min_number), float(got["median"]), float(got.max_number), float(got["mean"])) == (0.005, 0.01, 0.015, 0.01)
+
+
+def test_a_large_delivery_lands_as_more_files(spark):
+    import types
+
+    from checks import flows
+
+    k = types.SimpleNamespace(spark=spark, stage={"t": spark.range(1000).withColumn("v", F.col("id") % 7)})
+    path, schema, parts = flows._landing(k, "t", copies=2, files=2, file_rows=100)
+    per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).count().collect()
+    assert parts == 5 and len(per_file) == 20 and max(r["count"] for r in per_file) <= 110
+    landed = spark.read.schema(schema).parquet(path).groupBy("id").count().collect()
+    assert len(landed) == 1000 and {r["count"] for r in landed} == {2}
+    assert flows._landing(k, "t", files=4)[2] == 1
