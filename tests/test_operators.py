@@ -212,3 +212,25 @@ def test_a_hot_key_on_the_right_of_a_filtered_left_join_is_split(spark):
     assert "skew=true" in plan
     assert sum(r.v is not None for r in rows) == 60000
     assert {r.k for r in rows} == set(range(2000))
+
+
+def test_reduce_tasks_are_small_and_files_are_not(spark, tmp_path):
+    from coinloft import session
+
+    key, rows = tables.ADVISORY, spark.range(100).withColumn("p", F.col("id") % 2)
+    assert session.SETTINGS[key] == "16MB"
+    seen, before = [], spark.conf.get(key)
+    for value in ("16MB", "5MB"):
+        spark.conf.set(key, value)
+        try:
+            for target in (None, 256):
+                with tables._file_size(spark, target):
+                    seen.append(spark.conf.get(key))
+                assert spark.conf.get(key) == value
+            tables.write_full_refresh(rows, str(tmp_path / "t"), ["p"])
+            tables.compact_partitions(rows, str(tmp_path / "c"), ["p"])
+            assert spark.conf.get(key) == value
+        finally:
+            spark.conf.set(key, before)
+    assert seen == ["64MB", "256MB", "5MB", "256MB"]
+    assert spark.read.parquet(str(tmp_path / "t")).count() == spark.read.parquet(str(tmp_path / "c")).count() == 100
