@@ -234,3 +234,15 @@ def test_reduce_tasks_are_small_and_files_are_not(spark, tmp_path):
             spark.conf.set(key, before)
     assert seen == ["64MB", "256MB", "5MB", "256MB"]
     assert spark.read.parquet(str(tmp_path / "t")).count() == spark.read.parquet(str(tmp_path / "c")).count() == 100
+
+
+def test_scan_tasks_are_small_unless_the_owner_has_set_them(spark):
+    from coinloft import session
+
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert before == session.SETTINGS[key] == "16MB"
+    spark.conf.set(key, "128MB")
+    try:  # the suite's session was built with the setting, so it counts as the owner's
+        assert session.tune(spark).conf.get(key) == "128MB"
+    finally:
+        spark.conf.set(key, before)
