@@ -189,6 +189,14 @@ def test_models_score_every_held_out_row(spark):
     assert 0.5 < figures["areaUnderROC"] <= 1.0 and 0 < figures["accuracy"] <= 1
 
 
+def test_training_rows_are_dealt_over_the_cores(spark):
+    one_file = spark.range(40000, numPartitions=1).select("id", F.lit(1.5).alias("x"), F.lit("a").alias("code"), (F.col("id") % 2).alias("y"))
+    table = models.training_table(one_file, ["id"], ["x"], ["code"], "y")
+    sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 11000 and sum(sizes) == table.distinct().count() == 40000
+    assert models.training_table(one_file.where("id < 0"), ["id"], ["x"], ["code"], "y").count() == 0
+
+
 def test_grid_search_returns_every_point(spark):
     lake = Lake(spark, FOLDER)
     out = models.tune_grid_cv(features.fraud_features(lake.silver), trees=(2, 3), depths=(2,), min_rows=(1, 5), folds=2).collect()
