@@ -1,11 +1,12 @@
 """Phrase collocations by top-order marginalisation: one count of the longest windows, shorter phrases by ROLLUP.
 
 Every word starts one window of four lead columns, padded where its piece of text ends. Only these windows are counted; the
-occurrences of every shorter phrase are sums over the windows that begin with it, which Spark's ROLLUP forms.
+occurrences of every shorter phrase are sums over the windows that begin with it, which Spark's ROLLUP forms. ROLLUP writes a
+row up to five times, so it gets each window once, with its count over the whole table.
 
 Counts of phrases under the threshold are never needed, as a candidate's parts occur at least as often as it does. So the
 windows are sieved first: one pass counts hashed words and pairs exactly, a second one hashed triples of frequent pairs, and
-a filter of fixed size takes the frequent ones. A window is padded from its first rare pair or triple on. The filter and
+a filter sized by their number takes the frequent ones. A window is padded from its first rare pair or triple on. The filter and
 hash collisions err to one side only: what they let through is counted like anything else, so results do not depend on them.
 """
 
@@ -27,8 +28,10 @@ LEAST = 30  # occurrences of a candidate
 HELD_IN = 80  # per cent of its occurrences within one longer candidate that drop a phrase
 SCALE = 2_000_000
 TOP = 2000  # phrases reported per language
-SECOND = 22  # where the second bit number of a 48-bit key begins
-FILTER_BITS = 1 << 26  # 8 MB, whatever the input; a fuller filter lets more windows through and changes no result
+KEY_BITS = 48  # of a hash
+KEY_SHARE = 16  # bits of the filter for each frequent word and pair, so that few rare ones pass
+FILTER_BITS = 1 << 26  # 8 MB, the least size of the filter
+MOST_BITS = 1 << 29  # 64 MB, its largest size; a fuller filter lets more windows through and changes no result
 CHUNK = 1 << 20  # bytes of text per array pass
 _U = np.uint64
 
@@ -145,18 +148,28 @@ def _key_counts(shared=None):
     return run
 
 
-def _bits(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (key & _U(FILTER_BITS - 1)).astype(np.int64), ((key >> _U(SECOND)) & _U(FILTER_BITS - 1)).astype(np.int64)
+def _bits(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bit numbers below ``bits`` for each key: its last bits and its first ones."""
+    return (key & _U(bits - 1)).astype(np.int64), (key >> _U(KEY_BITS - bits.bit_length() + 1)).astype(np.int64)
 
 
-def _filled(keys: DataFrame, least: int) -> np.ndarray:
-    """Bytes of a filter of FILTER_BITS bits that holds every key whose counts add up to ``least`` or more."""
-    keys = keys.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    bit = F.explode(F.array(F.col("key").bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned("key", SECOND).bitwiseAND(FILTER_BITS - 1)))
+def _frequent(keys: DataFrame, least: int) -> DataFrame:
+    """The keys whose counts add up to ``least`` or more, stored."""
+    return cut_lineage(keys.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), "frequent-keys")
+
+
+def _size(keys: int) -> int:
+    """Bits of a filter for so many words and pairs, a power of two."""
+    return min(max(FILTER_BITS, 1 << (KEY_SHARE * keys - 1).bit_length()), MOST_BITS) if keys else FILTER_BITS
+
+
+def _filled(keys: DataFrame, size: int) -> np.ndarray:
+    """Bytes of a filter of ``size`` bits that holds every key."""
+    bit = F.explode(F.array(F.col("key").bitwiseAND(size - 1), F.shiftrightunsigned("key", KEY_BITS - size.bit_length() + 1)))
     bits = keys.select(bit.alias("bit")).select((F.col("bit") + 1).alias("bit"))  # bucket b holds the numbers (b - 1) * 32768 + 1 to b * 32768
     blocks = bits.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in blocks.collect():  # at most FILTER_BITS / 32768 rows of 4 KB
+    out = np.zeros(size // 8, np.uint8)
+    for r in blocks.collect():  # at most size / 32768 rows of 4 KB
         at = (r["block"] - 1) * 4096
         out[at : at + 4096] = np.frombuffer(bytes(r["map"]), np.uint8)[: len(out) - at]
     return out
@@ -165,12 +178,13 @@ def _filled(keys: DataFrame, least: int) -> np.ndarray:
 def frequent_filter(docs: DataFrame, least: int) -> np.ndarray:
     """A filter that holds every word, pair and triple, hashed with its language, of ``least`` or more occurrences."""
     counts = lambda shared=None: docs.mapInArrow(_key_counts(shared), "key long, n long")
-    held = _filled(counts(), least)
-    return held | _filled(counts(docs.sparkSession.sparkContext.broadcast(held)), least)
+    short = _frequent(counts(), least)
+    held = _filled(short, _size(short.count()))
+    return held | _filled(_frequent(counts(docs.sparkSession.sparkContext.broadcast(held)), least), len(held) * 8)
 
 
 def _held(filter_: np.ndarray, key: np.ndarray) -> np.ndarray:
-    a, b = _bits(key)
+    a, b = _bits(key, len(filter_) * 8)
     return ((filter_[a >> 3] >> (a & 7).astype(np.uint8)) & (filter_[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
 
 
@@ -222,6 +236,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     docs = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
     shared = spark.sparkContext.broadcast(frequent_filter(docs, least))
     windows = docs.mapInArrow(_windows(shared), ", ".join(["lang string", *[f"{c} string" for c in COLUMNS], "n long"]))
+    windows = windows.groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
     level = F.grouping_id()  # 15, 7, 3, 1, 0: windows summed over all but the first 0 to 4 words
     summed = windows.rollup("lang", *COLUMNS).agg(F.sum("n").alias("f"), level.alias("over")).where(f"over < {1 << ORDER}")
     words = F.lit(ORDER) - F.bit_count("over")

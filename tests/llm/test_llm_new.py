@@ -216,6 +216,31 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     assert want and phrases.collocations(docs, 2).collect() == want
 
 
+def test_rollup_gets_each_window_once(spark, monkeypatch):
+    """ROLLUP writes every row five times, so windows of all tasks are summed before it."""
+    plans, store = {}, phrases.cut_lineage
+
+    def stored(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, purpose)
+
+    monkeypatch.setattr(phrases, "cut_lineage", stored)
+    phrases.phrase_counts(spark.createDataFrame([("a b c d", "en")] * 3, "text string, lang string"), 2)
+    above, below = plans["phrase-counts"].split("Expand", 1)
+    assert "Aggregate" in above and "Aggregate" in below
+
+
+def test_the_filter_grows_with_its_keys(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "FILTER_BITS", 1 << 16)
+    words = [f"w{i}" for i in range(6000)]
+    held = phrases.frequent_filter(spark.createDataFrame([(" ".join(words), "en")], "text string, lang string"), 1)
+    others = np.random.default_rng(1).integers(0, 1 << 48, 20000).astype(np.uint64)
+    assert phrases._held(held, others).mean() < 0.05
+    text = " ".join(words)
+    own, pair, triple = phrases._keys(phrases._Words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])), phrases._lang_hashes(["en"]))
+    assert phrases._held(held, np.concatenate([own, pair[:-1], triple[:-2]])).all()
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.sampled_from(["a", "Bc", "ddd", " ", " ", "\t", ".", ",", "\n", "é"]), max_size=300))
 def test_long_texts_keep_every_window_over_their_passes(parts):
