@@ -1,8 +1,9 @@
 """Merkle dataset manifest: digests of all rows under one root, and a proof per row checked by a recursive query.
 
 The levels of the trees are built bottom up by grouping runs of 16 nodes and stored as parent-linked node rows. A Spark
-recursive query then climbs from every leaf to the root, appends the siblings it passes and folds the leaf's (possibly
-tampered) digest into each parent.
+recursive query then climbs from every run of leaves to the root and notes the nodes it passes. Their members join once,
+after the climb; each leaf's (possibly tampered) digest is folded into one parent after the other, and the siblings are its proof.
+Digests are stored and moved as 32 bytes and hashed as hex text.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ def digest(*parts: Column) -> Column:
     return F.sha2(F.concat(*parts).cast("binary"), 256)
 
 
-def _joined(members: str, place: str, middle: str) -> str:
-    """SQL: the digests of a run in order, the one at ``place`` replaced by ``middle``."""
-    return f"array_join(transform({members}, (m, i) -> if(i = {place}, {middle}, m)), '')"
+def _hexed(digests: str) -> str:
+    """SQL: an array of digests as one hex text."""
+    return f"array_join(transform({digests}, d -> lower(hex(d))), '')"
 
 
 def positions(rows: DataFrame, tree: str, order: list[str], purpose: str) -> DataFrame:
@@ -47,7 +48,8 @@ def positions(rows: DataFrame, tree: str, order: list[str], purpose: str) -> Dat
     # one row per tree and range it lies in
     before = Window.partitionBy(tree).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     part = part.withColumns({"base": F.coalesce(F.sum("n").over(before), F.lit(0)), "size": F.sum("n").over(Window.partitionBy(tree))})
-    return placed.join(part.drop("n"), [tree, "part"]).withColumn("pos", F.col("base") + F.col("at") - F.col("first")).drop("part", "at", "first", "base")
+    part = cut_lineage(part.drop("n"), "ranges")  # of known size: where it is small, the rows are not shuffled to meet it
+    return placed.join(part, [tree, "part"]).withColumn("pos", F.col("base") + F.col("at") - F.col("first")).drop("part", "at", "first", "base")
 
 
 def _node(level: Column, pos: Column) -> Column:
@@ -57,7 +59,8 @@ def _node(level: Column, pos: Column) -> Column:
 def _levels(nodes: DataFrame) -> DataFrame:
     """All inner nodes above ``nodes`` (tree, level, pos, size: nodes of the tree on this level, digest, weight).
 
-    Result: node, tree, level, pos, size, digest, members, weight (sum of the children's). One job a level, each a sixteenth of the last.
+    Result: node, tree, level, pos, size, digest, members (the children's digests, one after the other), weight (sum of the children's).
+    One job a level, each a sixteenth of the last.
     """
     out = None
     while True:
@@ -66,8 +69,8 @@ def _levels(nodes: DataFrame) -> DataFrame:
             break
         child = F.array_sort(F.collect_list(F.struct("pos", "digest")))
         up = many.groupBy("tree", F.expr(f"pos div {RUN}").alias("pos"), "size", "level").agg(child.alias("c"), F.sum("weight").alias("weight"))
-        up = up.select("tree", (F.col("level") + 1).alias("level"), "pos", F.expr(f"(size + {RUN - 1}) div {RUN}").alias("size"), F.col("c.digest").alias("members"), "weight")
-        up = up.withColumns({"digest": digest(F.array_join("members", "")), "node": _node(F.col("level"), F.col("pos"))})
+        up = up.select("tree", (F.col("level") + 1).alias("level"), "pos", F.expr(f"(size + {RUN - 1}) div {RUN}").alias("size"), F.expr(_hexed("c.digest")).alias("members"), "weight")
+        up = up.withColumns({"digest": F.unhex(digest(F.col("members"))), "members": F.unhex("members"), "node": _node(F.col("level"), F.col("pos"))})
         nodes = cut_lineage(up, "tree-level")
         out = nodes if out is None else out.union(nodes)
     return out
@@ -83,40 +86,41 @@ def leaves(docs: DataFrame) -> DataFrame:
     return docs.select("source", "doc_id", of(F.col("text")).alias("leaf"), F.when(tampered, lowered).otherwise(of(F.col("text"))).alias("altered"))
 
 
-def trees(leaf: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(runs, nodes) over ``leaf`` (source, doc_id, leaf, altered).
+def trees(leaf: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(runs, links, nodes) over ``leaf`` (source, doc_id, leaf, altered); only runs if there is no node above them.
 
-    ``runs``: each run of up to 16 leaves: run, kids (doc_id, leaf, altered), members (leaves), alone (no other leaf in the source),
-    digest, subroot (set if the run is its source's root), up, place, salts. ``nodes``: node, members, digest, subroot, up, place, salts for
-    every node above. ``up`` is the parent's key (null at the root), ``place`` the place among its children, ``salts`` in
-    how many copies the climb finds it.
+    ``runs``: each run of up to 16 leaves: run, kids (doc_id, leaf, altered: null where it is the same leaf), alone (no other leaf in the
+    source), digest, subroot (set if the run is its source's root). ``links``: run, up, place, salts. ``nodes``: node, members, digest, subroot,
+    up, place, salts, weight for every node above. ``up`` is the parent's key (null at the root), ``place`` the place among its children,
+    ``salts`` in how many copies the climb finds it.
     """
-    rows = leaf.select(encoded(F.col("source")).alias("tree"), "source", "doc_id", "leaf", "altered")
+    altered = F.when(F.col("altered") != F.col("leaf"), F.unhex("altered"))
+    rows = leaf.select(encoded(F.col("source")).alias("tree"), "doc_id", F.unhex("leaf").alias("leaf"), altered.alias("altered"))
     rows = cut_lineage(rows.withColumn("seq", F.monotonically_increasing_id()), "leaves")
     placed = positions(rows, "tree", ["doc_id", "leaf", "seq"], "placed-leaves")
     kid = F.array_sort(F.collect_list(F.struct("pos", "doc_id", "leaf", "altered")))
-    runs = placed.groupBy("tree", "source", "size", F.expr(f"pos div {RUN}").alias("pos")).agg(kid.alias("kids"))
-    runs = runs.withColumns({"members": F.col("kids.leaf"), "alone": F.col("size") == 1})
-    runs = runs.withColumn("digest", F.when(F.col("alone"), F.col("members")[0]).otherwise(digest(F.array_join("members", ""))))
+    runs = placed.groupBy("tree", "size", F.expr(f"pos div {RUN}").alias("pos")).agg(kid.alias("kids"))
+    runs = runs.withColumn("alone", F.col("size") == 1)
+    runs = runs.withColumn("digest", F.when(F.col("alone"), F.col("kids.leaf")[0]).otherwise(F.unhex(digest(F.expr(_hexed("kids.leaf"))))))
     runs = runs.withColumns({"size": F.expr(f"(size + {RUN - 1}) div {RUN}"), "level": F.lit(1), "run": _node(F.lit(1), F.col("pos"))})
     runs = cut_lineage(runs.withColumn("weight", F.lit(1).cast("long")), "leaf-runs")
 
     base = runs.select("tree", "level", "pos", "size", "digest", "weight")
     inner = _levels(base)
     tops = base.where("size = 1") if inner is None else base.where("size = 1").union(inner.where("size = 1").select(*base.columns))
-    named = cut_lineage(tops.join(runs.select("tree", "source").distinct(), "tree").withColumnRenamed("tree", "under"), "subroots")
+    named = cut_lineage(tops.withColumnRenamed("tree", "under"), "subroots")
     # the top tree's name is no encoded source; null sources come first, others by their bytes
-    order = named.withColumns({"tree": F.lit("^"), "named": F.col("source").isNotNull()}).select("tree", "named", F.coalesce("source", F.lit("")).alias("source"), "under", "digest", "weight")
+    order = named.select(F.lit("^").alias("tree"), (F.col("under") != "-").alias("named"), F.expr("if(under = '-', '', substring(under, instr(under, ':') + 1))").alias("source"), "under", "digest", "weight")
     top = cut_lineage(positions(order, "tree", ["named", "source", "under"], "placed-subroots").withColumn("level", F.lit(0)), "top-leaves")
     upper = _levels(top.select("tree", "level", "pos", "size", "digest", "weight"))
 
+    own = runs.select("run", "kids", "alone", "digest", F.when(F.col("size") == 1, F.col("digest")).alias("subroot"))
     every = [x for x in (inner, upper) if x is not None]
-    stored = None
-    for x in every:
-        stored = x if stored is None else stored.union(x)
-    if stored is None:  # one source of at most 16 documents, or none
-        nodes = runs.select(F.col("run").alias("node"), "members", "digest", F.lit(None).cast("string").alias("subroot"), F.lit(None).cast("string").alias("up"), F.lit(0).cast("long").alias("place"), F.lit(0).cast("long").alias("salts")).limit(0)
-        return runs.select("run", "kids", "members", "alone", "digest", F.col("digest").alias("subroot"), F.lit(None).cast("string").alias("up"), F.lit(0).cast("long").alias("place"), F.lit(0).cast("long").alias("salts")), nodes
+    if not every:  # one source of at most 16 documents, or none
+        return own, None, None
+    stored = every[0]
+    for x in every[1:]:
+        stored = stored.union(x)
 
     salts = F.ceil(F.col("weight") / CLIMBERS).cast("long")
     weights = stored.select(F.col("node").alias("up"), salts.alias("salts"))
@@ -125,11 +129,12 @@ def trees(leaf: DataFrame) -> tuple[DataFrame, DataFrame]:
     def linked(rows: DataFrame) -> DataFrame:
         """With up, place, salts and subroot: within the tree by position, from a subroot into the top tree."""
         inside = rows.where("size > 1 or tree = '^'").withColumns({
-            "up": F.when(F.col("size") > 1, _node(F.col("level") + 1, F.expr(f"pos div {RUN}"))), "place": F.col("pos") % RUN, "subroot": F.lit(None).cast("string")})
+            "up": F.when(F.col("size") > 1, _node(F.col("level") + 1, F.expr(f"pos div {RUN}"))), "place": F.col("pos") % RUN, "subroot": F.lit(None).cast("binary")})
         roots = rows.where("size = 1 and tree <> '^'").join(links, "tree").withColumn("subroot", F.col("digest"))
         return inside.unionByName(roots).join(weights, "up", "left")
 
-    return linked(runs).drop("tree", "source", "level", "pos", "size", "weight"), linked(stored).select("node", "members", "digest", "subroot", "up", "place", "salts", "weight")
+    low = linked(runs.select("run", "tree", "level", "pos", "size", "digest"))
+    return own, low.select("run", "up", "place", "salts"), linked(stored).select("node", "members", "digest", "subroot", "up", "place", "salts", "weight")
 
 
 @contextmanager
@@ -144,31 +149,31 @@ def _unlimited(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def climb(runs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """run, folded (one digest per kid), proof (siblings above the run), subroot, root.
+def climb(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """run, way (step, place, others: the siblings' digests, one after the other; at every node above the run), subroot (null if it is the run), root.
 
-    The 16 leaves of a run share their way up from it, so they climb as one row that folds each leaf's own digest. A
+    The 16 leaves of a run share their way up from it, so they climb as one row, which holds no more than where it is. A
     node that many rows pass is found in several copies, ``CLIMBERS`` rows each, so no key grows with the tree.
     """
-    spark = runs.sparkSession
-    first = F.expr(f"if(alone, transform(kids, k -> k.altered), transform(kids, (k, p) -> sha2({_joined('members', 'p', 'k.altered')}, 256)))")
-    key = "concat(up, '#', pmod(xxhash64(run), salts))"
-    start = runs.select("run", F.expr(key).alias("up"), "place", first.alias("folded"), "subroot", F.col("digest").alias("root"))
-    copies = nodes if "weight" not in nodes.columns else nodes.withColumn("copy", F.explode(F.expr(f"sequence(0L, ceil(weight / {CLIMBERS}) - 1)")))
-    copies = copies.select(F.concat_ws("#", "node", "copy" if "copy" in copies.columns else F.lit(0)).alias("node"), "members", "digest", "subroot", "up", "place", "salts")
+    spark = links.sparkSession
+    start = links.where("up IS NOT NULL").select("run", F.expr("concat(up, '#', pmod(xxhash64(run), salts))").alias("up"), "place")
+    copies = nodes.withColumn("copy", F.explode(F.expr(f"sequence(0L, ceil(weight / {CLIMBERS}) - 1)")))
+    copies = copies.select(F.concat_ws("#", "node", "copy").alias("node"), "members", "digest", "subroot", "up", "place", "salts")
     start, copies = cut_lineage(start, "climb-start"), cut_lineage(copies, "nodes")
     with _unlimited(spark):
-        done = spark.sql(f"""
+        done = spark.sql("""
             WITH RECURSIVE climb AS (
-              SELECT run, up, place, folded, '' AS proof, subroot, root FROM {{start}}
+              SELECT run, 1 AS step, up, place FROM {start}
               UNION ALL
-              SELECT c.run, concat(n.up, '#', pmod(xxhash64(c.run), n.salts)), n.place,
-                transform(c.folded, f -> sha2({_joined('n.members', 'c.place', 'f')}, 256)),
-                concat(c.proof, array_join(filter(n.members, (m, i) -> i <> c.place), '')),
-                coalesce(c.subroot, n.subroot), n.digest
-              FROM climb c JOIN {{nodes}} n ON c.up = n.node)
-            SELECT run, folded, proof, subroot, root FROM climb WHERE up IS NULL""", start=start, nodes=copies)
-        return cut_lineage(done, "climbed")
+              SELECT c.run, c.step + 1, concat(n.up, '#', pmod(xxhash64(c.run), n.salts)), n.place
+              FROM climb c JOIN {nodes} n ON c.up = n.node)
+            SELECT run, step, up, place FROM climb""", start=start, nodes=copies.where("up IS NOT NULL").select("node", "up", "place", "salts"))
+        done = cut_lineage(done, "climbed")
+    # the first digest of a node's members is at byte 1
+    others = F.expr("concat(substring(members, 1, int(32 * c.place)), substring(members, int(32 * c.place + 33)))")
+    passed = done.alias("c").join(copies.alias("n"), F.col("c.up") == F.col("n.node")).select(
+        "run", F.struct("step", F.col("c.place").cast("int").alias("place"), others.alias("others")).alias("at"), "subroot", F.expr("if(n.up IS NULL, digest, NULL)").alias("root"))
+    return passed.groupBy("run").agg(F.collect_list("at").alias("way"), F.max("subroot").alias("subroot"), F.max("root").alias("root"))
 
 
 def verified(docs: DataFrame) -> DataFrame:
@@ -178,14 +183,27 @@ def verified(docs: DataFrame) -> DataFrame:
     order does not matter. A null doc_id is never tampered with. ``verified`` tells whether the fold of the altered leaf with
     the original siblings gives the root. Columns other than the five digested ones are ignored; an empty table gives none.
     """
-    runs, nodes = trees(leaves(docs.select("doc_id", "source", "lang", "n_chars", "text")))
-    runs = cut_lineage(runs, "linked-runs")
-    up = climb(runs, nodes)
-    own = "array_join(filter(members, (m, i) -> i <> p), '')"
-    each = runs.select("run", "kids", "members").join(up, "run").select(
-        F.explode(F.expr(f"transform(kids, (k, p) -> struct(k.doc_id as doc_id, k.leaf as leaf, sha2(concat({own}, proof), 256) as proof_sha256, folded[p] as folded_root))")).alias("k"),
-        "subroot", "root")
-    return each.select("k.doc_id", "k.leaf", "subroot", "root", "k.proof_sha256", "k.folded_root", (F.col("k.folded_root") == F.col("root")).alias("verified"))
+    runs, links, nodes = trees(leaves(docs.select("doc_id", "source", "lang", "n_chars", "text")))
+    if links is None:
+        none = {"way": "array<struct<step:int,place:int,others:binary>>", "above": "binary", "root": "binary"}
+        each = runs.withColumns({c: F.lit(None).cast(t) for c, t in none.items()})
+    else:
+        each = runs.join(climb(links, nodes).withColumnRenamed("subroot", "above"), "run", "left")
+    hexed = lambda *c: F.lower(F.hex(F.coalesce(*c)))
+    each = each.select(
+        hexed("subroot", "above").alias("subroot"), hexed("root", "digest").alias("root"), "alone",
+        F.expr("transform(kids, k -> struct(k.doc_id, lower(hex(k.leaf)) as leaf, lower(hex(coalesce(k.altered, k.leaf))) as altered))").alias("kids"),
+        F.expr("transform(array_sort(coalesce(way, array())), s -> struct(s.place, lower(hex(s.others)) as others))").alias("way"))
+    # both texts around a kid's leaf in its run, and each step's fold of what came from below with the siblings there
+    each = each.withColumns({"proof": F.array_join("way.others", ""), "kids": F.expr("""
+        transform(kids, (k, p) -> struct(k.doc_id, k.leaf, k.altered,
+          array_join(slice(kids.leaf, 1, p), '') as before, array_join(slice(kids.leaf, p + 2, size(kids)), '') as after))""")})
+    each = each.select("subroot", "root", "way", "proof", F.explode(F.expr("""
+        transform(kids, k -> struct(k.doc_id, k.leaf, sha2(concat(k.before, k.after, proof), 256) as proof_sha256,
+          if(alone, k.altered, sha2(concat(k.before, k.altered, k.after), 256)) as first))""")).alias("k"))
+    folded = F.expr("aggregate(way, k.first, (f, s) -> sha2(concat(substring(s.others, 1, 64 * s.place), f, substring(s.others, 64 * s.place + 1)), 256))")
+    each = each.select("k.doc_id", "k.leaf", "subroot", "root", "k.proof_sha256", folded.alias("folded_root"))
+    return each.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
 def twin() -> str:

@@ -106,6 +106,23 @@ def test_hot_nodes_are_found_in_copies(spark, monkeypatch):
     assert manifest_of(spark, rows) == manifest_by_hand(rows)
 
 
+def test_climbing_rows_carry_no_digests(spark, monkeypatch):
+    """What climbs is a key and a place, whatever the depth; digests are stored as 32 bytes, an altered one only where it differs."""
+    stored, store = {}, manifest.cut_lineage
+
+    def kept(df, purpose):
+        stored[purpose] = store(df, purpose)
+        return stored[purpose]
+
+    monkeypatch.setattr(manifest, "cut_lineage", kept)
+    rows = [(i, "a", "en", 1, "UP" if i % 2 else "low") for i in range(100)]
+    manifest_of(spark, rows)
+    assert set(stored["climbed"].columns) == {"run", "step", "up", "place"}
+    leaves = stored["leaves"].collect()
+    assert {len(r.leaf) for r in leaves} == {32}
+    assert sorted(r.doc_id for r in leaves if r.altered) == [i for i in range(100) if i % 2 and zlib.crc32(str(i).encode()) % 5 == 0]
+
+
 # --- toxicity ------------------------------------------------------------------
 
 
