@@ -3,6 +3,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import checks
@@ -189,6 +190,16 @@ def test_models_score_every_held_out_row(spark):
     assert 0.5 < figures["areaUnderROC"] <= 1.0 and 0 < figures["accuracy"] <= 1
 
 
+def test_models_score_in_a_session_that_observed(spark):
+    """A training summary holds the session, which cannot be sent to tasks after the first observed DataFrame."""
+    spark.range(3).observe(Observation("seen"), F.count("*").alias("n")).collect()
+    test_models_score_every_held_out_row(spark)
+    texts = spark.createDataFrame([(i, "good words" if i % 2 else "bad lines") for i in range(60)], "doc_id long, text string")
+    marks = texts.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    scored, _ = models.doc_classify(texts, marks)
+    assert {(r.doc_id % 2, r.prediction) for r in scored.collect()} == {(0, 0.0), (1, 1.0)}
+
+
 def test_training_rows_are_dealt_over_the_cores(spark):
     one_file = spark.range(40000, numPartitions=1).select("id", F.lit(1.5).alias("x"), F.lit("a").alias("code"), (F.col("id") % 2).alias("y"))
     table = models.training_table(one_file, ["id"], ["x"], ["code"], "y")
