@@ -3,6 +3,8 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -208,6 +210,19 @@ def test_training_rows_are_dealt_over_the_cores(spark):
     assert models.training_table(one_file.where("id < 0"), ["id"], ["x"], ["code"], "y").count() == 0
 
 
+def test_forests_keep_the_node_of_each_row(spark):
+    """Beside the rows, not found anew from the root in every pass; the trees are those of a plain forest."""
+    grown = models._fraud_pipeline(4, 6, 42).getStages()[-1]
+    assert grown.getCacheNodeIds()
+    rows = spark.range(2000, numPartitions=3).select(
+        (F.pmod(F.xxhash64("id"), F.lit(7)) % 2).cast("double").alias("label"),
+        F.pmod(F.xxhash64("id"), F.lit(91)).cast("double").alias("x"), (F.col("id") % 13).cast("double").alias("y"))
+    rows = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(rows)
+    plain = RandomForestClassifier(numTrees=4, maxDepth=6, seed=42).fit(rows)
+    trees = lambda model: [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+    assert trees(grown.fit(rows)) == trees(plain) and plain.totalNumNodes > 8
+
+
 def test_grid_search_returns_every_point(spark):
     lake = Lake(spark, FOLDER)
     out = models.tune_grid_cv(features.fraud_features(lake.silver), trees=(2, 3), depths=(2,), min_rows=(1, 5), folds=2).collect()
