@@ -246,3 +246,34 @@ def test_scan_tasks_are_small_unless_the_owner_has_set_them(spark):
         assert session.tune(spark).conf.get(key) == "128MB"
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_stored_table_is_compacted_without_a_shuffle(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 900, numPartitions=6).select(
+        "id", (F.col("id") % 3).cast("int").alias("n"), F.element_at(F.array(F.lit("a b/c%"), F.lit("x=y"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("p"))
+    rows = rows.withColumn("day", F.expr("date'2020-01-01' + n"))
+    stored, packed = str(tmp_path / "stored"), str(tmp_path / "packed")
+    rows.write.partitionBy("p", "day").parquet(stored)
+    table = spark.read.parquet(stored)
+    spark.range(5).write.parquet(f"{packed}/left=1")  # of an earlier run, replaced
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_write", None)  # the form that shuffles
+        tables.compact_partitions(table.where("id >= 0"), packed, ["p", "day"])
+    got = spark.read.parquet(packed)
+    assert got.columns == table.columns and got.exceptAll(table).count() == table.exceptAll(got).count() == 0
+    assert len(table.inputFiles()) == 18 and len(got.inputFiles()) == 3
+    moved = table.withColumn("day", F.date_add("day", 40))  # the values are not those of the folders
+    for i, (df, cols) in enumerate([(moved, ["p", "day"]), (table, ["n"]), (rows, ["p"]), (table.limit(0), ["p", "day"])]):
+        tables.compact_partitions(df, str(tmp_path / f"other{i}"), cols)
+        if i < 3:
+            other = spark.read.parquet(str(tmp_path / f"other{i}")).select(*df.columns)
+            assert other.exceptAll(df).count() == df.exceptAll(other).count() == 0
+    tables.compact_partitions(table, stored, ["p", "day"])  # onto itself: as before
+    assert spark.read.parquet(stored).count() == 900
+
+
+def test_tables_are_written_with_zstd_unless_the_owner_has_set_a_codec(spark):
+    from coinloft import session
+
+    key = "spark.sql.parquet.compression.codec"
+    assert spark.conf.get(key) == session.SETTINGS[key] == "zstd"
