@@ -527,3 +527,13 @@ def test_a_delivery_of_many_rows_is_not_shuffled(spark, monkeypatch):
     assert parts == 8  # 32 files in four batches, as two deliveries of two files would come
     landed = spark.read.schema(schema).parquet(path).groupBy("id").count().collect()
     assert len(landed) == 1000 and {r["count"] for r in landed} == {2}
+
+
+def test_streams_shuffle_delivered_columns_only(spark):
+    lake, path, schema, _ = _few_months(spark, 2)
+    batch = spark.read.schema(schema).parquet(path)
+    whole, clustered = (jobs.clean_transactions(batch, lake.as_of, lake.run_ts, clustered=c) for c in (False, True))
+    plan = clustered._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions")
+    assert "amount_abs" in above and "amount_abs" not in below and "_normalized" not in below
+    assert whole.exceptAll(clustered).count() == clustered.exceptAll(whole).count() == 0
