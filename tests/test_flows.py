@@ -537,3 +537,36 @@ def test_streams_shuffle_delivered_columns_only(spark):
     above, below = plan.split("RebalancePartitions")
     assert "amount_abs" in above and "amount_abs" not in below and "_normalized" not in below
     assert whole.exceptAll(clustered).count() == clustered.exceptAll(whole).count() == 0
+
+
+def test_only_uuids_and_places_travel_to_the_state(spark):
+    """A file of several bitmaps with repeated and missing uuids, delivered twice with other dates: the rows stored whole, each once."""
+    lake, _, schema, rows = _few_months(spark, 1)
+    many = rows.crossJoin(spark.range(1000).withColumnRenamed("id", "n")).limit(80000)
+    many = many.withColumn("transaction_uuid", F.when(F.col("n") % 50 < 49, F.concat("transaction_uuid", F.lit(" "), F.col("n") % 300)))
+    source, again, out, plain, checkpoint = (work_folder(spark, n) for n in ("arriving it's", "again", "silver", "plain", "checkpoint"))
+    many.drop("n").coalesce(1).write.parquet(source)
+    delivered = spark.read.schema(schema).parquet(source)
+    read = []
+
+    def files(paths):
+        read.append(len(paths))
+        return spark.read.schema(schema).parquet(*paths)
+
+    def run(to, at, **given):
+        jobs.stream_clean_dedup(jobs.file_stream(spark, source, schema), lake.as_of, lake.run_ts, to, at, **given)
+
+    run(out, checkpoint, files=files)
+    run(plain, work_folder(spark, "checkpoint"))
+    stored = jobs.landed(spark, out)
+    silver = jobs.clean_transactions(delivered, lake.as_of, lake.run_ts).drop(jobs.EVENT_TIME)
+    uuids = silver.where("transaction_uuid is not null").select("transaction_uuid").distinct().count()
+    nameless = silver.where("transaction_uuid is null").count()
+    assert 20000 < uuids < silver.count() - nameless and nameless > 500 and silver.count() > jobs.BLOCK
+    assert stored.count() == jobs.landed(spark, plain).count() == uuids + nameless
+    assert stored.columns == jobs.landed(spark, plain).columns
+    assert stored.exceptAll(silver.select(*stored.columns)).count() == 0
+    delivered.where("transaction_uuid is not null").withColumn("transaction_date", F.col("transaction_date") + F.expr("INTERVAL 9 MONTH")).write.parquet(again)
+    spark.read.schema(schema).parquet(again).coalesce(2).write.mode("append").parquet(source)
+    run(out, checkpoint, files=files)
+    assert jobs.landed(spark, out).count() == uuids + nameless and read == [1]  # no row of the second delivery is read again
