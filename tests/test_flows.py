@@ -221,6 +221,8 @@ def test_forests_keep_the_node_of_each_row(spark):
     plain = RandomForestClassifier(numTrees=4, maxDepth=6, seed=42).fit(rows)
     trees = lambda model: [t.toDebugString.split("\n", 1)[1] for t in model.trees]
     assert trees(grown.fit(rows)) == trees(plain) and plain.totalNumNodes > 8
+    large = models._fraud_pipeline(100, 6, 42, models.NODE_IDS // 100 + 1).getStages()[-1]
+    assert not large.getCacheNodeIds()  # they would go to disk on every level
 
 
 def test_grid_search_returns_every_point(spark):
